@@ -98,7 +98,10 @@ def spans(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def _joined(*kinds: str) -> Column:
-    return F.array_join(F.concat(*[F.transform(k, lambda x, k=k: F.concat_ws(":", F.lit(k), x["s"].cast("string"), x["e"].cast("string"))) for k in kinds]), ",")
+    def told(kind):
+        return F.transform(kind, lambda x: F.concat_ws(":", F.lit(kind), x["s"].cast("string"), x["e"].cast("string")))
+
+    return F.array_join(F.concat(*map(told, kinds)), ",")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -108,18 +111,21 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by <KIND>; overlapping spans as one. Columns stay; n_chars follows the text where there is such a column. Null text stays null."""
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    keyed = docs.withColumn("_granary_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     found = spans(docs.select("doc_id", "text"), "doc_id")
-    flat = F.array_sort(F.concat(*[F.transform(k, lambda x, k=k: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(f"<{k.upper()}>").alias("k"))) for k in (*KINDS, "context")]))
-    found = found.where(" + ".join(f"size({k})" for k in (*KINDS, "context")) + " > 0").select("key", flat.alias("_x")).dropDuplicates(["key"])
+    def named(kind):
+        return F.transform(kind, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(f"<{kind.upper()}>").alias("k")))
+
+    flat = F.array_sort(F.concat(*map(named, (*KINDS, "context"))))
+    found = found.where(" + ".join(f"size({k})" for k in (*KINDS, "context")) + " > 0").select(F.col("key").alias("_granary_found"), flat.alias("_granary_spans")).dropDuplicates(["_granary_found"])
     out = F.aggregate(
-        "_x",
+        "_granary_spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda a, x: F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(x["s"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.substring("text", a["at"] + 1, x["s"] - a["at"]), x["k"])).alias("out")),
         lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))),
     )
-    d = keyed.join(found, F.col("_key") == F.col("key"), "left")
-    d = d.withColumn("text", F.when(F.col("_x").isNull(), F.col("text")).otherwise(out))
+    d = keyed.join(found, F.col("_granary_key") == F.col("_granary_found"), "left")
+    d = d.withColumn("text", F.when(F.col("_granary_spans").isNull(), F.col("text")).otherwise(out))
     if "n_chars" in docs.columns:
         d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return d.select(*docs.columns)
