@@ -2,26 +2,43 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WS = r"[\x20\x09-\x0D]+"
 BATCH_ROWS = 1000
+_shipped: set[str] = set()
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches (texts can be long) and a checkpoint folder; the cluster's own folder is used where it names one."""
+    """Small Arrow batches (texts can be long), a checkpoint folder (the cluster's own where it names one), and the package for the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="granary-"))
+    if spark.sparkContext.applicationId not in _shipped:  # executors need the package wherever the driver has it from
+        _shipped.add(spark.sparkContext.applicationId)
+        root, to = Path(__file__).resolve().parents[2], Path(tempfile.mkdtemp()) / "granary.zip"
+        with zipfile.ZipFile(to, "w") as z:
+            for f in sorted((root / "granary").rglob("*.py")):
+                z.write(f, f.relative_to(root))
+        spark.sparkContext.addPyFile(str(to))
     return spark
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs; its cleaner acts on what the driver's garbage collectors have found."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
