@@ -11,7 +11,7 @@ from granary.llm.common import ws_words
 
 WINDOW, SUPPORT, STEPS = 5, 0.75, 4
 #: Features in thousandths, and the least standard deviation that each is granted: log of the mean word length; log of symbols, equal lines and repeated words per word.
-FEATURES = {"f0": 0.18, "f1": 1.0, "f2": 1.0, "f3": 1.0}
+FEATURES = {"f0": 0.18, "f1": 1.0, "f2": 1.0, "f3": 1.3}
 P = len(FEATURES)
 #: The 0.99999 quantile of chi square with 4 degrees of freedom.
 CUTOFF = 28.47
