@@ -7,6 +7,7 @@ import os
 import duckdb
 import pytest
 
+import granary.plans.annotation  # noqa: F401
 from granary.plans.registry import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
