@@ -23,10 +23,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least doc_id of each group. Without words, each is a group of its own."""
+    """Keeps the document of the least doc_id of each group. Without words, each is a group of its own. Of equal rows one stays."""
     ready(spark)
-    kept = ngram_join.similar(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    kept = ngram_join.similar(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows"))
+    found = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")))
+    again = found.where("_rows > 1").withColumn("_hash", F.xxhash64("text")).dropDuplicates(["_kept", "_hash"])  # repeated rows
+    return found.where("_rows = 1").select(*docs.columns).unionAll(again.select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,9 @@ VOID = set("area base br col embed hr img input link meta source track wbr".spli
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements that are never content, and words of class, id and role that mark such parts.
 NEVER = set("aside button canvas dialog footer form head iframe menu nav noscript object script select style svg template textarea title".split())
-MARKS = set("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist complementary consent contentinfo cookie cookies discussion disclaimer disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split())
+#: Words that mark the site's own head, outside an article.
+HEAD = {"header", "masthead", "topbar"}
+MARKS = set("ad ads adv advert alert aside adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist complementary consent contentinfo cookie cookies discussion disclaimer disqus footer gdpr menu modal nav navbar navigation newsletter notice notices notification pager pagination popup privacy promo promoted rail recommendations recommended related reply replies respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar trending widget".split())
 CONTAINER = set("article body div main section table td".split())
 #: A start tag ends these open ones.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -47,7 +49,7 @@ class Lines(HTMLParser):
             words = {w for k, v in attrs if k in ("class", "id", "role") and v for w in re.split(r"[^a-z]+", v.lower())}
             inside = any(t in ("article", "main") for t, *_ in self.open)
             self.n += 1
-            self.open.append((tag, self.n, tag in NEVER or (tag == "header" and not inside) or (tag not in ("html", "body", "article", "main") and bool(words & MARKS))))
+            self.open.append((tag, self.n, tag in NEVER or (tag == "header" and not inside) or (tag not in ("html", "body", "article", "main") and bool(words & MARKS or words & HEAD and not inside))))
 
     def close_tags(self, tags):
         """Closes the innermost of the tags unless a container lies between."""

@@ -27,3 +27,10 @@ def test_stages(spark):
 def test_run_repeats(spark):
     a, b = (sorted(map(tuple, corpus_pipeline.run(spark, DATA).collect())) for _ in range(2))
     assert a == b and a
+
+
+def test_one_of_each_group_stays(spark):
+    ready(spark)
+    rows = [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i j"), (1, "a b c d e f g h i j"), (3, None), (4, "other words are here for you")]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA)
+    assert sorted(r.doc_id for r in got.collect()) == [1, 3, 4]
