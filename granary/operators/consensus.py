@@ -9,6 +9,7 @@ from granary.functions.expressions import abstains
 
 #: Keywords of cell types, in the order in which they are tried.
 KEYWORDS = (
+    ("T cell", "Immune", ("t cell", "t-cell", "t_cell", "cd4", "cd8", "treg", "regulatory t", "cytotoxic t", "helper t", "naive t", "memory t", "tcm", "tem", "th1", "th2", "th17", "tfh", "gamma delta", "mait")),
     ("NK cell", "Immune", ("nk cell", "natural killer", "nk_", "cd56")),
     ("B cell", "Immune", ("b cell", "b-cell", "b_cell", "plasma cell", "plasmablast", "germinal center")),
     ("Microglia", "Immune", ("microglia", "microglial")),
@@ -23,6 +24,14 @@ KEYWORDS = (
     ("Mural cell", "Mural", ("pericyte", "smooth muscle", "mural", "vascular smooth")),
     ("Erythrocyte", "Other", ("erythrocyte", "erythroid", "red blood")),
     ("Melanocyte", "Other", ("melanocyte",)),
+    ("Excitatory (glutamatergic) neuron", "Other", ("excitatory neuron", "glutamatergic", "pyramidal")),
+    ("Inhibitory (GABAergic) neuron", "Other", ("interneuron", "gabaergic", "inhibitory neuron")),
+    ("Astrocyte", "Other", ("astrocyte", "astroglia")),
+    ("Oligodendrocyte precursor cell", "Other", ("oligodendrocyte precursor", "oligodendrocyte progenitor")),
+    ("Oligodendrocyte", "Other", ("oligodendrocyte",)),
+    ("Schwann cell", "Other", ("schwann",)),
+    ("Neuron", "Other", ("neuron", "neuronal")),
+    ("Glial cell", "Other", ("glial", "glia")),
 )
 
 
