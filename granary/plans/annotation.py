@@ -221,3 +221,15 @@ def label_mapping_table(s, d):
     return metrics.union_all([T.voters(s, d).groupBy(F.lit(c).alias("column"), F.col(c).alias("label")).agg(F.count("*").alias("n_cells")) for c in ("truth", "knowledge")])
 
 
+
+
+@query("WITH v AS (SELECT DISTINCT p_type AS node_id FROM part), l AS (SELECT DISTINCT CASE p_size % 4 WHEN 0 THEN p_type WHEN 1 THEN lower(p_type) || '(+)' WHEN 2 THEN p_type || '-CELLS' ELSE 'zzz' END AS label, p_type, p_size % 4 AS z FROM part) SELECT label, CASE WHEN z = 3 THEN NULL ELSE any_value(p_type) END AS node_id, CASE WHEN z = 3 THEN 0.0::DOUBLE WHEN z = 0 THEN 1.0::DOUBLE ELSE 0.95::DOUBLE END AS confidence, CASE WHEN z = 3 THEN 'unresolved' WHEN z = 0 THEN 'exact' ELSE 'normalised' END AS method FROM l GROUP BY label, z")
+def label_resolver(s, d):
+    from granary.operators import resolver
+
+    p = T.load(s, d, "part")
+    z = F.col("p_size") % 4
+    labels = p.select(F.when(z == 0, F.col("p_type")).when(z == 1, F.concat(F.lower("p_type"), F.lit("(+)"))).when(z == 2, F.concat("p_type", F.lit("-CELLS"))).otherwise("zzz").alias("label"))
+    v = p.select(F.col("p_type").alias("node_id")).distinct()
+    aliases = v.select("node_id", F.col("node_id").alias("raw_label")).unionAll(v.select("node_id", F.concat("node_id", F.lit("+")))).unionAll(v.select("node_id", F.concat("node_id", F.lit(" cell"))))
+    return resolver.resolve(labels, aliases, v.withColumn("level", F.lit(1)), fuzzy=False)

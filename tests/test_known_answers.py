@@ -124,3 +124,16 @@ def test_streamed_totals_equal_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {(r.start, r.event_type): r.n for r in spark.table("totals").collect()} == batch
+
+
+def test_resolver_ladder(spark):
+    from granary.operators import resolver
+
+    nodes = spark.createDataFrame([("t_cell", 1), ("gd_t_cell", 2), ("mono", 1)], "node_id string, level int")
+    aliases = spark.createDataFrame([("T cells", "t_cell"), ("gamma-delta T cell", "gd_t_cell"), ("CD14+ monocyte", "mono"), ("classical monocyte", "mono")], "raw_label string, node_id string")
+    labels = spark.createDataFrame([("T cells",), ("T-cell",), ("γδ T cell",), ("γ-δ T cells",), ("MONO",), ("CD14 + Monocyte",), ("clasical monocyte",), ("",), (None,), ("hepatocyte",)], "label string")
+    got = {r.label: (r.node_id, r.confidence, r.method) for r in resolver.resolve(labels, aliases, nodes).collect()}
+    assert got["T cells"] == ("t_cell", 1.0, "exact") and got["T-cell"] == ("t_cell", 0.95, "normalised")
+    assert got["γ-δ T cells"] == ("gd_t_cell", 0.95, "normalised") and got["MONO"] == ("mono", 1.0, "node_id")
+    assert got["CD14 + Monocyte"] == ("mono", 0.95, "normalised") and got["clasical monocyte"] == ("mono", 0.55, "fuzzy")
+    assert got[""][2] == got[None][2] == got["hepatocyte"][2] == "unresolved"
