@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WS = r"[\x20\x09-\x0D]+"
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 1000, 1 << 24
 _shipped: set[str] = set()
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Small Arrow batches (texts can be long), a checkpoint folder (the cluster's own where it names one), and the package for the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
