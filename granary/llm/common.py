@@ -20,6 +20,7 @@ def ready(spark: SparkSession) -> SparkSession:
     """Small Arrow batches (texts can be long), a checkpoint folder (the cluster's own where it names one), and the package for the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # a finished action's shuffle files go
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

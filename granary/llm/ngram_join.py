@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from granary.llm.common import arrow_map, components
+from granary.llm.common import arrow_map, components, release
 from granary.llm.shingles import M1, digest, mix, shingle_set
 
 K, PERCENT = 4, 85
@@ -187,6 +187,7 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int =
     docs = docs.select("doc_id", "text")
     nodes = _nodes(docs, k).checkpoint()
     blocks = components(_candidates(docs, k, percent)).withColumnRenamed("component", "block").checkpoint()
+    release(docs.sparkSession)
     sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     blocks = blocks.join(sizes, "block").withColumn("at", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     one = nodes.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("x")).join(blocks, "node").select("node", "x.*", "block", "tiles", "at").alias("o")
