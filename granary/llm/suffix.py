@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from granary.llm.common import arrow_map
+from granary.llm.common import arrow_map, release
 from granary.llm.shingles import M1, M2, mix
 
 WINDOW, Q = 100, 32
@@ -89,51 +89,54 @@ def suffix_array(text: np.ndarray, depth: int = WINDOW, held: int = HELD) -> np.
     n = len(text)
     if n < 2:
         return np.arange(n)
-    t = text.astype(np.int64)
-    rise = np.sign(np.diff(np.append(t, -1)))
+    t = text
+    rise = np.sign(np.diff(np.append(t.astype(np.int64), -1)))
     known = np.where(rise != 0, np.arange(n), n)
     nearest = np.minimum.accumulate(known[::-1])[::-1]
     is_s = rise[nearest] > 0
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    padded = np.concatenate([text.astype(">u2"), np.zeros(depth, ">u2")])
     size = int(t.max()) + 1
 
     def by_char(items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(t[items], kind="stable")
-        items = items[order]
-        return items, np.searchsorted(t[items], np.arange(size + 1))
+        c = t[items]
+        order = np.argsort(c, kind="stable")  # a radix sort, as symbols have 16 bits
+        return items[order], np.concatenate([[0], np.cumsum(np.bincount(c, minlength=size))])
 
     def reduced(items: np.ndarray) -> np.ndarray:
-        """Order of the left-most S suffixes: names of their blocks of symbols, doubled until all differ or the depth is reached."""
-        width = 8
-        rank = np.zeros(n + depth + width, np.int64)
-        every = np.lib.stride_tricks.sliding_window_view(padded, width)[: n]
-        raw = np.ascontiguousarray(every[items]).view(f"V{2 * width}").ravel()
-        raw = raw.view([("a", ">u8"), ("b", ">u8")])
-        order = np.lexsort((raw["b"], raw["a"]))
-        while True:
-            first, second = raw["a"][order], raw["b"][order]
-            new = np.concatenate([[0], np.cumsum((first[1:] != first[:-1]) | (second[1:] != second[:-1]))])
-            names = np.empty(len(items), np.int64)
+        """Order of the left-most S suffixes: their substrings are named in order (a proper prefix comes after what it is a prefix of, as the next S suffix starts there), and the names are sorted by doubling: two symbols a name at least, so 2 ** k names reach the depth."""
+        m = len(items)
+        length = np.diff(np.append(items, n)) + 1  # the last ends with the end of the text, the least symbol
+        padded = np.append(t.astype(np.uint64) + np.uint64(1), np.uint64(0))
+        names, groups, at = np.zeros(m, np.int64), np.arange(m), 0
+        while len(groups):  # four symbols at a time, only where names are still equal
+            pos, left = items[groups] + at, length[groups] - at
+            key = np.zeros(len(groups), np.uint64)
+            for k in range(4):
+                key = (key << np.uint64(16)) | np.where(left > k, padded[np.minimum(pos + k, n)], np.uint64(0xFFFF))
+            order = np.lexsort((key, names[groups]))
+            g, k_ = names[groups][order], key[order]
+            fresh = np.concatenate([[True], (g[1:] != g[:-1]) | (k_[1:] != k_[:-1])])
+            start = np.concatenate([[True], g[1:] != g[:-1]])
+            place = np.arange(len(order))
+            first, base = np.maximum.accumulate(np.where(fresh, place, 0)), np.maximum.accumulate(np.where(start, place, 0))
+            names[groups[order]] = g + first - base  # a name is the number of substrings before it
+            at += 4
+            run = np.flatnonzero(fresh)
+            many = np.repeat(np.diff(np.append(run, len(order))), np.diff(np.append(run, len(order)))) > 1
+            groups = groups[order[many & (left[order] >= 4)]]
+        reach = 1
+        while reach * 2 <= depth:
+            ahead = np.zeros(m, np.int64)
+            ahead[: max(0, m - reach)] = names[reach:] + 1 if reach < m else 0
+            key = names * (m + 1) + ahead
+            order = np.argsort(key)
+            new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
+            names = np.empty(m, np.int64)
             names[order] = new
-            if width >= depth or new[-1] == len(items) - 1:
-                return items[order]
-            tied = np.flatnonzero(np.bincount(names)[names] > 1)
-            ahead = np.zeros((len(items), 2), np.uint64)
-            ahead[tied] = np.ascontiguousarray(padded_block(items[tied] + width)).view(">u8").astype(np.uint64)
-            raw = np.zeros(len(items), [("a", np.int64), ("b", np.uint64), ("c", np.uint64)])
-            raw["a"], raw["b"], raw["c"] = names, ahead[:, 0], ahead[:, 1]
-            order = np.lexsort((raw["c"], raw["b"], raw["a"]))
-            joined = np.empty(len(items), [("a", np.int64), ("b", np.int64)])
-            joined["a"] = names
-            sub = np.concatenate([[0], np.cumsum((raw["b"][order][1:] != raw["b"][order][:-1]) | (raw["c"][order][1:] != raw["c"][order][:-1]) | (raw["a"][order][1:] != raw["a"][order][:-1]))])
-            joined["b"][order] = sub
-            raw, width = joined, width + 8
-
-    view = np.lib.stride_tricks.sliding_window_view(np.concatenate([padded, np.zeros(16, ">u2")]), 8)
-
-    def padded_block(at: np.ndarray) -> np.ndarray:
-        return view[np.minimum(at, len(view) - 1)]
+            if new[-1] == m - 1:
+                break
+            reach *= 2
+        return items[np.argsort(names)]
 
     lms = reduced(lms) if len(lms) else lms
     queue, seeds = Queue(size, held), by_char(lms)
@@ -146,7 +149,7 @@ def suffix_array(text: np.ndarray, depth: int = WINDOW, held: int = HELD) -> np.
         c = t[prev]
         prev = prev[(c >= low) if up else (c <= low)]
         got, cut = by_char(prev)
-        for ch in np.unique(t[got]).tolist():
+        for ch in np.flatnonzero(np.diff(cut)).tolist():
             if ch != low:
                 queue.push(ch, got[cut[ch] : cut[ch + 1]])
         return got[cut[low] : cut[low + 1]]
@@ -246,16 +249,17 @@ def _inverse(n: int) -> np.ndarray:
 
 
 def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> DataFrame:
-    """docs (oid, key, text) -> key, runs: array of byte ranges [s, e) that are repeats. A row for each document with any."""
+    """docs (key, doc_id, text) -> key, runs: array of byte ranges [s, e) that are repeats. A row for each document with any."""
     by, every = Window.partitionBy("anchor"), ["oid", "key", "n", "anchor", "ctx", "pos"]
     at = F.struct("oid", "key", "pos")
-    seen = _occurrences(docs).withColumn("mixed", F.min("ctx").over(by) < F.max("ctx").over(by)).withColumn("first", F.min(at).over(Window.partitionBy("anchor", "ctx")))
+    seen = _occurrences(docs.withColumn("oid", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))).withColumn("mixed", F.min("ctx").over(by) < F.max("ctx").over(by)).withColumn("first", F.min(at).over(Window.partitionBy("anchor", "ctx")))
     seen = seen.where(F.col("mixed") | (at > F.col("first"))).select(*every, "mixed", (at > F.col("first")).alias("late")).checkpoint()
+    release(docs.sparkSession)
     s0, s1 = F.greatest(F.col("pos") - SIDE, F.lit(0)), F.least(F.col("pos"), F.col("n") - WINDOW)
     full = seen.where("late").select("key", s0.alias("s"), (s1 + WINDOW).alias("e"))
     lead = seen.where("mixed and not late")
     shards = F.greatest(F.lit(1), F.ceil(F.lit(lead.count() / shard))).cast("int")
-    lead = lead.groupBy("key").agg(F.collect_list(F.struct("pos", "anchor")).alias("lead")).join(docs, "key")
+    lead = lead.groupBy("oid", "key").agg(F.collect_list(F.struct("pos", "anchor")).alias("lead")).join(docs, "key")
 
     def make():
         def f(b):
@@ -267,7 +271,7 @@ def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> D
 
         return f
 
-    contexts = arrow_map(lead.select("oid", "key", "lead", "text"), make, "oid long, key long, at array<struct<anchor:long,start:int,context:binary>>").select("oid", "key", F.explode("at").alias("x")).select("oid", "key", "x.*").withColumn("shard", F.pmod("anchor", shards))
+    contexts = arrow_map(lead.select("oid", "key", "lead", "doc_id", "text"), make, "oid long, key long, at array<struct<anchor:long,start:int,context:binary>>").select("oid", "key", F.explode("at").alias("x")).select("oid", "key", "x.*").withColumn("shard", F.pmod("anchor", shards))
 
     def sort(group):
         import pyarrow as pa
@@ -287,8 +291,8 @@ def dedup(docs: DataFrame, *, shard: int = SHARD, held: int = HELD, keep_text: b
 
     A byte goes if a 100-byte string over it also starts earlier: in a smaller doc_id, or the same document. Null doc_ids come first. Equal rows are one document, and all are judged alike; other rows with equal ids are ordered by a hash of their text. Null or short text: nothing is removed. Other columns are ignored.
     """
-    docs = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("oid"), F.xxhash64("doc_id", "text").alias("key"))
-    runs = repeated_runs(docs.select("oid", "key", "text"), shard=shard, held=held)
+    docs = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
+    runs = repeated_runs(docs, shard=shard, held=held)  # both joins read the same exchange of the texts
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def make():
