@@ -12,6 +12,8 @@ from granary.llm.common import ready
 
 #: Documents with a less certain language go, and those without a letter.
 MIN_SCORE = 0.4
+#: Near duplicates share this percentage of their shingles of so many words.
+NEAR_K, NEAR_PERCENT = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +25,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least doc_id of each group. Without words, each is a group of its own. Of equal rows one stays."""
+    """Keeps the document of the least doc_id of each group: five-word similarity of 0.8 or more. Without words, each is a group of its own. Of equal rows one stays."""
     ready(spark)
-    kept = ngram_join.similar(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows"))
+    kept = ngram_join.similar(docs, k=NEAR_K, percent=NEAR_PERCENT).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows"))
     found = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")))
     again = found.where("_rows > 1").withColumn("_hash", F.xxhash64("text")).dropDuplicates(["_kept", "_hash"])  # repeated rows
     return found.where("_rows = 1").select(*docs.columns).unionAll(again.select(*docs.columns))

@@ -34,3 +34,29 @@ def test_one_of_each_group_stays(spark):
     rows = [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i j"), (1, "a b c d e f g h i j"), (3, None), (4, "other words are here for you")]
     got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA)
     assert sorted(r.doc_id for r in got.collect()) == [1, 3, 4]
+
+
+def brute_kept(texts, k, percent):
+    sets = {}
+    for d, t in texts:
+        w = t.split()
+        sets[d] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)}
+    low = {d: d for d in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                    low[a] = low[b] = min(low[a], low[b])
+    return {low[d] for d in sets}
+
+
+def test_near_copies_of_five_words_and_four_fifths_go(spark):
+    ready(spark)
+    rows = []
+    for g, added in enumerate((15, 22, 24, 25, 26, 40)):  # 100 shingles of five words, and so many more
+        base = [f"w{g}_{i}" for i in range(104)]
+        rows += [(10 * g + 1, " ".join(base)), (10 * g + 2, " ".join(base + [f"x{g}_{i}" for i in range(added)]))]
+    rows += [(101 + j, " ".join(f"e{i}" if not j or i % 25 else f"e{i}_{j}" for i in range(120))) for j in range(3)]
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA).collect()}
+    assert got == brute_kept(rows, 5, 80) != brute_kept(rows, 4, 85)
+    assert 12 not in got and 32 not in got and 42 in got
