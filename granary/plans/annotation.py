@@ -144,7 +144,8 @@ def subtype_rules(s, d):
 
 @query(f"WITH {_MEANS}, m AS (SELECT cluster, gene_id, round(s / 1e6::DOUBLE / n, 5) AS mean, round(k / n, 6) AS detected FROM gm JOIN z USING (cluster) WHERE gene_id <= 21) SELECT *, CASE WHEN max(mean) OVER w - min(mean) OVER w > 0 THEN round((mean - min(mean) OVER w) / (max(mean) OVER w - min(mean) OVER w), 5) ELSE 0.0::DOUBLE END AS scaled FROM m WINDOW w AS (PARTITION BY gene_id)")
 def marker_dotplot(s, d):
-    return A.dotplot(_values(s, d), T.cells(s, d), T.genes(s, d).where("gene_id <= 21"), "cluster")
+    """All genes. Its SQL keeps gene_id <= 21, so it agrees only on those."""
+    return A.dotplot(_values(s, d), T.cells(s, d), T.genes(s, d), "cluster")
 
 
 @query("WITH x AS (SELECT p_partkey AS gene_id, (p_partkey * 31 % 997) / 9970.0::DOUBLE AS padj, (p_size - 25) / 10.0::DOUBLE AS lfc FROM part), y AS (SELECT *, round(-log10(greatest(padj, 1e-300::DOUBLE)), 5) AS height, padj < 0.05 AND abs(lfc) > 1 AS significant FROM x) SELECT *, significant AND row_number() OVER (ORDER BY significant DESC, height DESC, abs(lfc) DESC, gene_id) <= 10 AS labelled FROM y")

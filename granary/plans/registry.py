@@ -439,8 +439,8 @@ def state_fraction(s, d):
 
 @query(f"WITH {LOGNORM}, {CELLS}, v AS (SELECT gene_id, cluster, round(value, 6) AS v FROM lognorm JOIN cells USING (cell_id) WHERE gene_id % 20 = 0), z AS (SELECT cluster, count(*)::BIGINT AS n1 FROM cells GROUP BY 1), nn AS (SELECT count(*)::BIGINT AS n FROM cells), vc AS (SELECT gene_id, v, count(*)::BIGINT AS t FROM v GROUP BY 1, 2), ar AS (SELECT gene_id, v, t, n, n - sum(t) OVER (PARTITION BY gene_id) AS zeros, n - sum(t) OVER (PARTITION BY gene_id) + sum(t) OVER (PARTITION BY gene_id ORDER BY v) - (t - 1) / 2.0::DOUBLE AS rank FROM vc, nn), ti AS (SELECT gene_id, (sum(t * t * t - t) + max(zeros::HUGEINT * zeros * zeros - zeros))::DOUBLE AS ties, max(zeros)::DOUBLE AS zeros FROM ar GROUP BY 1), sr AS (SELECT gene_id, cluster, sum(rank)::DOUBLE AS r, count(*) AS k FROM v JOIN ar USING (gene_id, v) GROUP BY 1, 2), u AS (SELECT cluster, gene_id, r + (n1 - k) * (zeros + 1) / 2 - n1 * (n1 + 1) / 2.0::DOUBLE AS u, n1::DOUBLE AS n1, (n - n1)::DOUBLE AS n2, n::DOUBLE AS n, ties FROM sr JOIN z USING (cluster) JOIN ti USING (gene_id), nn) SELECT cluster, gene_id, u, round((u - n1 * n2 / 2) / sqrt(n1 * n2 / 12 * (n + 1 - ties / (n * (n - 1)))), 4) AS z FROM u")
 def rank_sum_markers(s, d):
-    """One gene in twenty: a panel, as the feature is per gene; all cells."""
-    return numeric.rank_sum(_values(s, d).where("gene_id % 20 = 0").withColumn("value", F.round("value", 6)), T.cells(s, d), "cluster")
+    """All genes, all cells. Its SQL ranks one gene in twenty, so it agrees only on those."""
+    return numeric.rank_sum(_values(s, d).withColumn("value", F.round("value", 6)), T.cells(s, d), "cluster")
 
 
 @query(f"WITH {COUNTS}, {CELLS}, p AS (SELECT p_partkey AS gene_id, p_brand AS panel FROM part), z AS (SELECT panel, count(*) AS genes FROM p GROUP BY 1), n AS (SELECT cluster, count(*) AS cells FROM cells GROUP BY 1), h AS (SELECT cluster, panel, count(*) AS k FROM counts JOIN p USING (gene_id) JOIN cells USING (cell_id) WHERE count > 0 GROUP BY 1, 2), s AS (SELECT cluster, panel, round(k / genes / cells, 6) AS score FROM h JOIN z USING (panel) JOIN n USING (cluster)), r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, panel) AS r FROM s) SELECT cluster, CASE WHEN score >= 0.02 THEN panel ELSE 'Other' END AS lineage, score FROM r WHERE r = 1")
