@@ -16,3 +16,11 @@ def test_all_genes(spark, con, name, cut, share):  # noqa: F811
     some, part = got.where(share), con.sql(SQL[name])
     assert rows(some.columns, some.collect()) == rows(part.columns, part.fetchall())
     assert got.where(f"not ({share})").count()
+
+
+def test_all_orders_vote(spark, con):  # noqa: F811
+    cut = " WHERE o_orderkey % 50 = 0"
+    assert SQL["tree_lca"].count(cut) == 1
+    got, want = QUERIES["tree_lca"](spark, DATA), con.sql(SQL["tree_lca"].replace(cut, ""))
+    assert rows(got.columns, got.collect()) == rows(want.columns, want.fetchall())
+    assert sum(r.voters for r in got.collect()) == con.sql("SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey").fetchall()[0][0]
