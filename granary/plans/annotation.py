@@ -205,16 +205,16 @@ def linear_probabilities(s, d):
 
 @query()
 def neighbour_communities(s, d):
-    """Communities of the neighbour lists of the stated query set."""
+    """Communities of the ten nearest neighbours of every vector."""
     from granary.sources.tables import load
 
     v = load(s, d, "embeddings").select(F.col("vec_id").cast("long").alias("id"), "embedding")
-    e = numeric.nearest(v.where("id % 50 = 0"), v, 10).select(F.col("id").alias("src"), F.col("neighbour").alias("dst"), (1 / (1 + F.col("distance"))).alias("weight"))
+    e = numeric.nearest(v, v, 10).select(F.col("id").alias("src"), F.col("neighbour").alias("dst"), (1 / (1 + F.col("distance"))).alias("weight"))
     if s.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         import tempfile
 
         s.sparkContext.setCheckpointDir(s.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    return numeric.label_propagation(e, 3)
+    return numeric.label_propagation(e)
 
 
 @query(f"WITH {VOTERS} SELECT 'truth' AS \"column\", truth AS label, count(*)::BIGINT AS n_cells FROM voters GROUP BY ALL UNION ALL SELECT 'knowledge', knowledge, count(*)::BIGINT FROM voters GROUP BY ALL")

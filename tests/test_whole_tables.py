@@ -1,7 +1,10 @@
 """Queries over all their rows, where the registered SQL reads a share of them: the same SQL without its filter is the answer, and the SQL as it stands on the share."""
 
+from collections import Counter, defaultdict
+
 import pytest
 
+from granary.operators import numeric
 from granary.plans.registry import QUERIES, SQL
 
 from .test_oracles import DATA, con, rows  # noqa: F401
@@ -24,3 +27,23 @@ def test_all_orders_vote(spark, con):  # noqa: F811
     got, want = QUERIES["tree_lca"](spark, DATA), con.sql(SQL["tree_lca"].replace(cut, ""))
     assert rows(got.columns, got.collect()) == rows(want.columns, want.fetchall())
     assert sum(r.voters for r in got.collect()) == con.sql("SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey").fetchall()[0][0]
+
+
+def test_every_vector_is_in_a_stable_community(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    spark.read.parquet(f"{DATA}/embeddings.parquet").orderBy("vec_id").limit(40).write.parquet(f"{tmp_path}/embeddings.parquet")
+    v = spark.read.parquet(f"{tmp_path}/embeddings.parquet").selectExpr("CAST(vec_id AS BIGINT) AS id", "embedding")
+    label = {r.id: r.label for r in QUERIES["neighbour_communities"](spark, str(tmp_path)).collect()}
+    assert set(label) == {r.id for r in v.collect()}
+    weight = defaultdict(Counter)
+    for r in numeric.nearest(v, v, 10).collect():
+        for a, b in ((r.id, r.neighbour), (r.neighbour, r.id)):
+            weight[a][label[b]] += round(1e6 / (1 + r.distance))
+    assert all(label[i] == min(w, key=lambda k: (-w[k], k)) for i, w in weight.items())
+
+
+def test_two_nodes_do_not_swap_labels(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    pairs = spark.createDataFrame([(2 * i, 2 * i + 1, 1.0) for i in range(20)], "src long, dst long, weight double")
+    label = {r.id: r.label for r in numeric.label_propagation(pairs).collect()}
+    assert all(label[2 * i] == label[2 * i + 1] for i in range(20))
