@@ -336,6 +336,18 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert all(got[i].kept for i, *_ in clean) and not any(got[i].kept for i, *_ in junk)
 
 
+def test_each_feature_rejects_alone(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: f"w{rng.integers(10**6)}"
+    clean = [(i, " ".join(word() for _ in range(300)), "en", "s") for i in range(100)]
+    lines = [(1000 + i, "\n".join(f"{word()} {word()} {word()} {word()}\nsame" for _ in range(60)), "en", "s") for i in range(5)]
+    symbols = [(2000 + i, " ".join(word() if k % 3 else word()[:-1] + "##" for k in range(300)), "en", "s") for i in range(5)]
+    words = [(3000 + i, " ".join([word() for _ in range(250)] + 5 * [phrase := " ".join(word() for _ in range(11))]), "en", "s") for i in range(5)]
+    got = by_id(quality.quality(spark.createDataFrame(clean + lines + symbols + words, DOCS)))
+    assert all(got[i].kept for i, *_ in clean) and all(got[i].n_dup_lines == 59 for i, *_ in lines)
+    assert not any(r.base_failed or r.kept for i, r in got.items() if i >= 1000)
+
+
 def test_distance_equals_numpy(spark):
     rng = np.random.default_rng(4)
     x = rng.integers(-3000, 3000, (50, 4))
