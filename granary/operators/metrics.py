@@ -31,7 +31,7 @@ def macro_f1(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return f.join(a)
 
 
-def bootstrap_f1(df: DataFrame, truth: str, predicted: str, key: str, rounds: int = 200, seed: int = 0) -> DataFrame:
+def bootstrap_f1(df: DataFrame, truth: str, predicted: str, key: str, rounds: int = 1000, seed: int = 0) -> DataFrame:
     """Percentile interval of macro-F1 over resamples. A row's weight in a round is a Poisson(1) draw from a hash of (key, round): rounds are independent of partitioning."""
     u = (F.pmod(F.xxhash64(F.col(key), F.col("round"), F.lit(seed)), F.lit(1_000_003)) + 0.5) / 1_000_003
     cuts, p, total = [], 0.36787944117144233, 0.0

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from granary.operators import numeric
+from granary.operators import metrics, numeric
 from granary.plans.registry import QUERIES, SQL
 
 from .test_oracles import DATA, con, rows  # noqa: F401
@@ -47,3 +47,8 @@ def test_two_nodes_do_not_swap_labels(spark, tmp_path):
     pairs = spark.createDataFrame([(2 * i, 2 * i + 1, 1.0) for i in range(20)], "src long, dst long, weight double")
     label = {r.id: r.label for r in numeric.label_propagation(pairs).collect()}
     assert all(label[2 * i] == label[2 * i + 1] for i in range(20))
+
+
+def test_a_thousand_resamples(spark):
+    df = spark.createDataFrame([(i, "ab"[i % 2], "ab"[i % 3 % 2]) for i in range(12)], "id long, t string, p string")
+    assert metrics.bootstrap_f1(df, "t", "p", "id").collect()[0].rounds == 1000
