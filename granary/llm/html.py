@@ -1,4 +1,7 @@
-"""Main-text extraction: parser events, text-to-tag ratio per line, Gaussian smoothing, threshold clustering of the lines into a content region."""
+"""Main-text extraction: parser events, text-to-tag ratio per line, Gaussian smoothing, threshold clustering of the lines into a content region.
+
+The clusters decide: lines whose smoothed ratio is in the upper cluster are content lines, and the element that holds most of their text is the content region. Structure settles only what the ratio leaves open: short lines of the region (headings, list items) stay, and the elements that HTML defines as no main content (nav, footer, aside, form, ...) go unless the content lines themselves are in them. Names of classes and ids are not looked at.
+"""
 
 from __future__ import annotations
 
@@ -12,53 +15,82 @@ from granary.llm.common import arrow_map
 
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-#: Elements that are never content, and words of class, id and role that mark such parts.
-NEVER = set("aside button canvas dialog footer form head iframe menu nav noscript object script select style svg template textarea title".split())
-#: Words that mark the site's own head, outside an article.
-HEAD = {"header", "masthead", "topbar"}
-MARKS = set("ad ads adv advert alert aside adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist complementary consent contentinfo cookie cookies discussion disclaimer disqus footer gdpr menu modal nav navbar navigation newsletter notice notices notification pager pagination popup privacy promo promoted rail recommendations recommended related reply replies respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar trending widget".split())
-CONTAINER = set("article body div main section table td".split())
+#: Elements without text of the page; elements that HTML defines as no main content, and the same as roles.
+HARD = set("button canvas datalist head iframe noscript object option script select style svg template textarea title".split())
+SOFT = set("aside dialog footer form header menu nav".split())
+ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+CONTAINER = set("article aside blockquote body center dialog div dl fieldset figure footer form header main menu nav ol section table td th ul".split())
+WHOLE = ("article", "main")
 #: A start tag ends these open ones.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SIGMA, RADIUS, MAJORITY = 1.0, 2, 0.6
+#: Smoothing; the share of the content lines' text that makes an element the region; links from which a list of nothing else is a menu.
+SIGMA, RADIUS, MAJORITY, LINKS = 1.0, 2, 0.6, 3
+#: Articles are the region already with this share of the lines whose ratio is at least this part of the threshold: the ratio hardly tells short lines apart, so structure breaks the tie.
+ARTICLE, NEAR = 0.25, 0.25
+UNENDED = re.compile(r"<(?:[/!?a-zA-Z]|$)")
 
 
 class Lines(HTMLParser):
-    """Turns the event stream into lines: (text, tags seen, containers open, in an article, never content)."""
+    """Turns the event stream into lines (text, tags seen, container, characters in links) and a table of containers (parent, tag, soft, outermost article or main, number of links, whether it leads around the site). Each event costs amortised constant time, however deep elements are left open."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines, self.open, self.text, self.tags, self.n = [], [], [], 0, 0
+        self.lines, self.text, self.tags, self.linked = [], [], 0, 0
+        self.open, self.count, self.hard, self.links = [("", 0, False)], {}, 0, 0
+        self.parent, self.soft, self.whole, self.menu, self.way = [0], [False], [-1], [0], [False]
 
     def flush(self):
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, [k for t, k, _ in self.open if t in CONTAINER], [k for t, k, _ in self.open if t in ("article", "main")], any(bad for *_, bad in self.open)))
-        self.text, self.tags = [], 0
+            self.lines.append((text, self.tags, self.open[-1][1], self.linked))
+        self.text, self.tags, self.linked = [], 0, 0
+
+    def pop(self):
+        tag, _, hard = self.open.pop()
+        self.count[tag] -= 1
+        self.hard -= hard
+        self.links -= tag == "a"
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self.flush()
-            if any(t == "p" for t, *_ in self.open[-8:]):
-                self.close_tags({"p"})
-        self.close_tags(ENDS.get(tag, set()))
+            self.end({"p"})
+        if tag in ENDS:
+            self.end(ENDS[tag])
         self.tags += 1
         if tag == "br":
             self.text.append(" ")
-        if tag not in VOID:
-            words = {w for k, v in attrs if k in ("class", "id", "role") and v for w in re.split(r"[^a-z]+", v.lower())}
-            inside = any(t in ("article", "main") for t, *_ in self.open)
-            self.n += 1
-            self.open.append((tag, self.n, tag in NEVER or (tag == "header" and not inside) or (tag not in ("html", "body", "article", "main") and bool(words & MARKS or words & HEAD and not inside))))
-
-    def close_tags(self, tags):
+        if tag in VOID:
+            return
+        node = self.open[-1][1]
+        if tag in CONTAINER:
+            outer, role = self.whole[node], next((v for k, v in attrs if k == "role" and v), "")
+            nested = outer >= 0 and tag == "article"  # HTML: related to the outer one, as comments are
+            soft = tag != "body" and (tag in SOFT and not (tag == "header" and outer >= 0) or nested or role.lower().strip() in ROLES)
+            self.parent.append(node)
+            self.soft.append(soft)
+            self.whole.append(outer if outer >= 0 or tag not in WHOLE else len(self.whole))
+            self.menu.append(0)
+            self.way.append(tag in ("menu", "nav") or role.lower().strip() in ("menu", "menubar", "navigation"))
+            node = len(self.parent) - 1
+        hard = tag in HARD
+        self.open.append((tag, node, hard))
+        self.count[tag] = self.count.get(tag, 0) + 1
+        self.hard += hard
+        if tag == "a":
+            self.links += 1
+            self.menu[node] += 1
+
+    def end(self, tags):
         """Closes the innermost of the tags unless a container lies between."""
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] in tags:
-                del self.open[k:]
-                return
-            if self.open[k][0] in CONTAINER | {"ul", "ol", "table", "dl"}:
-                return
+        if any(self.count.get(t) for t in tags):
+            for k in range(len(self.open) - 1, 0, -1):
+                if self.open[k][0] in tags:
+                    while len(self.open) > k:
+                        self.pop()
+                    return
+                if self.open[k][0] in CONTAINER:
+                    return
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -69,13 +101,15 @@ class Lines(HTMLParser):
         if tag in BLOCK:
             self.flush()
         self.tags += 1
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                return
+        if self.count.get(tag):
+            while self.open[-1][0] != tag:
+                self.pop()
+            self.pop()
 
     def handle_data(self, data):
-        self.text.append(data)
+        if not self.hard:
+            self.text.append(data)
+            self.linked += len(data.strip()) if self.links else 0
 
 
 def smoothed(ratios: list[float]) -> list[float]:
@@ -88,51 +122,94 @@ def smoothed(ratios: list[float]) -> list[float]:
 
 
 def threshold(values: list[float]) -> float:
-    """Two clusters on a line: the middle of their means, from the extremes until it is stable."""
-    low, high = min(values), max(values)
-    for _ in range(50):
+    """Two clusters on a line: the middle of their means, from the extremes until it is stable. The cut moves over sorted values, which have finitely many places for it."""
+    v = sorted(values)
+    total = [0.0]
+    for x in v:
+        total.append(total[-1] + x)
+    low, high, seen = v[0], v[-1], set()
+    while True:
         cut = (low + high) / 2
-        a, b = [v for v in values if v < cut], [v for v in values if v >= cut]
-        now = (sum(a) / len(a) if a else low, sum(b) / len(b) if b else high)
-        if now == (low, high):
-            break
-        low, high = now
-    return (low + high) / 2
+        k = _first(v, cut)
+        if k in seen:
+            return cut
+        seen.add(k)
+        low, high = total[k] / k if k else low, (total[-1] - total[k]) / (len(v) - k) if k < len(v) else high
+
+
+def _first(v: list[float], cut: float) -> int:
+    from bisect import bisect_left
+
+    return bisect_left(v, cut)
+
+
+def _ended(html: str) -> str:
+    """Without a comment or tag that is not ended: it reaches to the end of the page, and the parser would look for its end again and again."""
+    at = html.find("<!--", html.rfind("-->") + 1)
+    html = html if at < 0 else html[:at]
+    at = UNENDED.search(html, html.rfind(">") + 1)
+    return html[: at.start()] if at else html
 
 
 def main_text(html: str | None) -> str:
     """The page's main text, blocks joined by a newline; '' for null, empty or textless pages."""
     if not html:
         return ""
-    at = html.rfind("<")
-    if at >= 0 and re.fullmatch(r"<(?:[/!?a-zA-Z][^>]*)?", html[at:]):  # cut off within a tag
-        html = html[:at]
+    html = _ended(html)
     p = Lines()
     p.feed(html)
     p.close()
     p.flush()
-    lines = [x for x in p.lines if not x[4]]
-    if not lines:
+    if not p.lines:
         return ""
-    s = smoothed([len(text) / max(1, tags) for text, tags, *_ in lines])
+    n, aside = len(p.parent), [False]
+    for k in range(1, len(p.parent)):  # children come after their parents
+        aside.append(p.soft[k] or aside[p.parent[k]])
+    found = [x for x in p.lines if not aside[x[2]]] if any(p.whole[x[2]] >= 0 and not aside[x[2]] for x in p.lines) else p.lines
+    s = smoothed([len(text) / max(1, tags) for text, tags, *_ in found])
     cut = threshold(s)
-    weight: dict[int, int] = {}
-    total, depth = 0, {}
-    for v, (text, _, path, _, _) in zip(s, lines):
-        if v >= cut:
-            total += len(text)
-            for d, k in enumerate(path):
-                weight[k], depth[k] = weight.get(k, 0) + len(text), d
-    held = [k for k in weight if weight[k] >= MAJORITY * total]
-    if not held:
-        return "\n".join(x[0] for x in lines)
-    region = max(held, key=lambda k: (depth[k], -k))
-    outer = next((x[3][0] for x in lines if region in x[2] and x[3]), region)  # the whole article around it
-    return "\n".join(x[0] for x in lines if outer in x[2] or region in x[2])
+    content, every, linked = [0] * n, [0] * n, [0] * n
+    for v, (text, _, node, links) in zip(s, found):
+        content[node] += len(text) if v >= cut else 0
+        every[node] += len(text)
+        linked[node] += min(links, len(text))
+    own, own_content = list(every), list(content)
+    for k in range(n - 1, 0, -1):
+        for sums in (content, every, linked, p.menu):
+            sums[p.parent[k]] += sums[k]
+    least = MAJORITY * content[0]
+    gone = [False] * n
+    for k in range(1, n):
+        gone[k] = gone[p.parent[k]] or p.soft[k] and (content[k] < least or p.way[k])
+    kept = [x for x in found if not gone[x[2]]]
+    held: dict[int, int] = {}
+    near = [(len(x[0]), p.whole[x[2]]) for v, x in zip(s, found) if v >= NEAR * cut and not gone[x[2]]]
+    for size, k in near:
+        if k >= 0:
+            held[k] = held.get(k, 0) + size
+    if held and sum(held.values()) >= ARTICLE * sum(size for size, _ in near):  # the articles that hold the content lines, whole
+        return "\n".join(x[0] for x in kept if p.whole[x[2]] in held and not _menu(p, x[2], content, every, linked))
+    region = 0
+    for k in range(1, n):
+        if p.parent[k] == region and content[k] >= least and not gone[k]:
+            region = k
+    inside, above, at = [k == region for k in range(n)], {0}, region
+    for k in range(1, n):
+        inside[k] = inside[k] or inside[p.parent[k]]
+    while at:
+        above.add(at)
+        at = p.parent[at]
+    where = {id(x): v >= cut for x, v in zip(found, s)}
+    return "\n".join(x[0] for x in kept if where[id(x)] or 2 * own_content[x[2]] >= own[x[2]] or x[2] in above and 2 * x[3] < len(x[0]) or inside[x[2]] and not _menu(p, x[2], content, every, linked))
+
+
+def _menu(p: Lines, node: int, content: list[int], every: list[int], linked: list[int]) -> bool:
+    """A list of nothing but links, none of them a content line."""
+    return not content[node] and p.menu[node] >= LINKS and 10 * linked[node] >= 9 * every[node]
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of pages (page_id, url, html). Null html: empty text, 0. Equal rows: each. Other columns are ignored. Row by row: no shuffle."""
+    """page_id, url, text, n_chars of pages (page_id, url, html). Null html: empty text, 0. Equal rows: each. Empty table: no rows. Very long pages take time in proportion to their length. Other columns are ignored, also those named as the results. Row by row: no shuffle."""
 
     def make():
         def f(b):

@@ -5,6 +5,7 @@ import hashlib
 import math
 import os
 import re
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -140,6 +141,51 @@ def test_generated_pages_lose_nothing(spark):
         assert html.main_text(r.html) == "\n".join(x for x in want if x)
 
 
+PARTS = "".join(f"<p>Paragraph number {i} holds a good deal of running text, as articles do, and goes on for some while.</p>" for i in range(6))
+MENU = "<nav><ul>" + "<li><a href=/>Home</a></li>" * 6 + "</ul></nav>"
+
+
+@pytest.mark.parametrize(
+    ("page", "blocks"),
+    [
+        (f'<body>{MENU}<div class="content has-sidebar"><h1>Title of it</h1>{PARTS}</div><footer>c</footer>', 7),
+        (f'<body><form id="aspnetForm">{MENU}<h1>Title of it</h1>{PARTS}</form>', 7),
+        (f'<article><h1>T</h1>{PARTS}<h2 id="discussion">Discussion</h2><p id="search-1">Short.</p></article>', 9),
+        (f"<body>{MENU}<div><p>One short.</p><p>Two short.</p><div>{PARTS}</div></div>", 8),
+        ("<div>x" * 1000, 1000),
+        (f"<main>{PARTS}<article><p>A reader wrote this comment, which is nested and so not a part of it.</p></article></main>", 6),
+        (f"<body><div role=navigation>Some way around</div>{PARTS}<aside><p>Not so.</p></aside>", 6),
+    ],
+)
+def test_region_is_chosen_by_ratio_not_by_class_names(page, blocks):
+    assert len(html.main_text(page).split("\n")) == blocks
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000, "<span>x" * 100_000 + "<p>y" * 1000, "<" * 100_000, "<!--" * 100_000, "<a " * 50_000, '<a b="' * 50_000 + ">", "<p><b>x" * 50_000, "<ul><li>x" * 50_000, "</" * 50_000 + ">", "<script>" * 50_000])
+def test_time_grows_with_length_only(page):
+    began = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - began < 10
+
+
+def test_extract_on_edge_tables(spark):
+    page = f"<body>{MENU}<h1>Title of it</h1>{PARTS}"
+    rows = [(1, "u", None), (2, None, ""), (3, "u", page), (3, "u", page), (None, "u", "<p>a</p>"), (4, "u", "<p>" + "word " * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("x"), "n_chars": F.lit(1)})
+    got = html.extract(pages).collect()
+    assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 1), (1, 0), (2, 0), (3, len(html.main_text(page))), (3, len(html.main_text(page))), (4, 999_999)]
+    assert html.extract(pages.limit(0)).collect() == []
+    assert html.extract(pages).columns == ["page_id", "url", "text", "n_chars"]
+
+
+def test_extract_agrees_with_the_articles_of_all_pages(spark):
+    """The query's rows against text cut out of each page's source by regular expressions."""
+    for r in QUERIES["op2_html_extraction"](spark, DATA).join(spark.read.parquet(f"{DATA}/pages.parquet"), ["page_id", "url"]).collect():
+        body = re.search(r"<article>(.*?)(?:</article>|$)", r.html, re.S)[1]
+        want = [" ".join(__import__("html").unescape(re.sub(r"<[^>]*>?", " ", x)).split()) for x in re.split(r"</?(?:p|h1)\b[^>]*>", body)]
+        assert r.text == "\n".join(x for x in want if x)
+
+
 # ---- personal data ----
 
 
