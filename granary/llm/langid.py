@@ -5,18 +5,21 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm.common import arrow_map
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-MARK, LONGEST, SEGMENT = "\u2581", 10, 40
+MARK = "\u2581"
+#: Longer words are scored by a recursion that is scaled as it goes.
+LONG = 40
 SCALE, UNKNOWN = 16.0, 1e-7
 MULT = np.uint64(0x9E3779B97F4A7C15)
 #: The model is fitted on about so many labelled documents of each language.
 SAMPLE_DOCUMENTS = 200
-LETTERS = re.compile(r"[^\W\d_]+")
+WORDS, LETTERS = re.compile(r"[^\W\d_]+"), regex.compile(r"\p{L}+")
 
 
 def pieces(path: str = VOCABULARY) -> list[str]:
@@ -25,7 +28,7 @@ def pieces(path: str = VOCABULARY) -> list[str]:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     found = (sp.id_to_piece(i) for i in range(sp.get_piece_size()))
-    return sorted({p for p in found if len(p) <= LONGEST and p.lower() == p and (p == MARK or p.removeprefix(MARK).isalpha())})
+    return sorted({p for p in found if p.lower() == p and (p == MARK or p.removeprefix(MARK).isalpha())})
 
 
 class Lattice:
@@ -36,6 +39,7 @@ class Lattice:
         self.order = np.argsort(h)
         self.keys, self.size = h[self.order], len(vocabulary)
         self.length = np.array([len(p) for p in vocabulary])
+        self.longest = int(self.length.max())
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
@@ -54,7 +58,7 @@ class Lattice:
     def ids(self, codes: np.ndarray) -> list[np.ndarray]:
         """For each length k, the piece at each start; self.size where there is none, self.size + 1 for a single unknown letter."""
         out, h = [], np.zeros(codes.shape, np.uint64)
-        for k in range(1, min(LONGEST, codes.shape[1]) + 1):
+        for k in range(1, min(self.longest, codes.shape[1]) + 1):
             h = h[:, : codes.shape[1] - k + 1] * MULT + codes[:, k - 1 :] + np.uint64(1)
             m = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
             got = np.full(h.shape, self.size + (k == 1), np.int32)
@@ -80,20 +84,35 @@ class Lattice:
                 alpha[j] += alpha[j - k] * w[ids[k - 1][:, j - k]]
         return alpha
 
+    @staticmethod
+    def scaled(ids: list[np.ndarray], w: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Logarithm of the forward sum at the end of each word. Only the last sums are held, brought to a common scale at every 16th letter, so words of any length neither overflow nor vanish."""
+        many, m = ids[0].shape
+        last, log, out = [np.ones((many, w.shape[1]))], np.zeros((many, w.shape[1])), np.zeros((many, w.shape[1]))
+        for j in range(1, m + 1):
+            now = sum(last[-k] * w[ids[k - 1][:, j - k]] for k in range(1, min(len(ids), j) + 1))
+            last = [*last[-len(ids) :], now]
+            if j % 16 == 0:
+                top = np.maximum.reduce(last)
+                last, log = [x / top for x in last], log + np.log(top)
+            out[n == j] = (np.log(last[-1]) + log)[n == j]
+        return out
+
     def score(self, words: list[str], w: np.ndarray) -> np.ndarray:
         """log P(word | language) of each word, over all segmentations."""
         out = np.empty((len(words), w.shape[1]))
-        by = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for a in range(0, len(by), 8192):
-            some = by[a : a + 8192]
+        for some in _groups(words, sorted(range(len(words)), key=lambda i: len(words[i]))):
             codes, n = self.codes([words[i] for i in some])
-            alpha = self.forward(self.ids(codes), w)
-            out[some] = np.log(alpha[n, np.arange(len(some))]) - n[:, None] * np.log(SCALE)
+            if codes.shape[1] > LONG + 1:
+                out[some] = self.scaled(self.ids(codes), w, n) - n[:, None] * np.log(SCALE)
+            else:
+                alpha = self.forward(self.ids(codes), w)
+                out[some] = np.log(alpha[n, np.arange(len(some))]) - n[:, None] * np.log(SCALE)
         return out
 
     def fit(self, words: dict[str, int], rounds: int = 4, add: float = 0.01) -> np.ndarray:
-        """Expectation maximisation of the piece probabilities of one language."""
-        p, by = np.full((self.size, 1), 1.0 / self.size), sorted(words, key=len)
+        """Expectation maximisation of the piece probabilities of one language. The sample's words of more than LONG letters are no words of it and teach nothing."""
+        p, by = np.full((self.size, 1), 1.0 / self.size), sorted((x for x in words if len(x) <= LONG), key=len)
         for _ in range(rounds):
             count, w = np.zeros(self.size + 2), self.weights(p)
             for a in range(0, len(by), 8192):
@@ -114,9 +133,22 @@ class Lattice:
         return p[:, 0]
 
 
+def _groups(words: list[str], by: list[int]):
+    """Runs of ``by``, in order of length, of at most 8,192 words and about as many letters as so many words of LONG have."""
+    a = 0
+    while a < len(by):
+        short = len(words[by[a]]) <= LONG
+        b = min(a + 8192, len(by))
+        while b - a > 1 and ((len(words[by[b - 1]]) <= LONG) != short or (b - a) * len(words[by[b - 1]]) > 8192 * LONG):
+            b = a + (b - a) // 2
+        yield by[a:b]
+        a = b
+
+
 def _letters(text: str | None) -> list[str]:
-    words = LETTERS.findall((text or "").lower())
-    return [x for w in words for x in ([w] if len(w) <= SEGMENT else [w[i : i + SEGMENT] for i in range(0, len(w), SEGMENT)])] if any(len(w) > SEGMENT for w in words) else words
+    """Runs of letters, lower case. The faster pattern also takes numerals such as one half, which are split off."""
+    words = WORDS.findall((text or "").lower())
+    return words if all(map(str.isalpha, words)) else [x for w in words for x in ([w] if w.isalpha() else LETTERS.findall(w))]
 
 
 def fold(doc_id) -> F.Column:
