@@ -2,143 +2,199 @@
 
 from __future__ import annotations
 
-import hashlib
-import re
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from granary.llm.common import arrow_map
+from granary.llm.common import arrow_map, ready
+from granary.llm.shingles import hashed_words, windows
 
 N = 10
-#: Most bytes of benchmark text in one broadcast. A larger benchmark is scanned in blocks of this size, each a pass over the documents.
-BLOCK_BYTES = 32_000_000
-WORD = rb"[0-9a-z\x80-\xff]+"
-MULT = 0x9E3779B97F4A7C15
-
-
-def _blocks(bench: DataFrame) -> list[list[tuple[str, str]]]:
-    """Items in blocks of bounded size; toLocalIterator keeps one partition at a time."""
-    blocks, size = [[]], 0
-    for r in bench.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), "text").where("text is not null").distinct().toLocalIterator():
-        if size > BLOCK_BYTES:
-            blocks, size = [*blocks, []], 0
-        blocks[-1].append((r.i, r.text))
-        size += len(r.text)
-    return blocks
-
-
-def _scanner(items: list[tuple[str, str]], n: int):
-    """A function: lower-cased UTF-8 text -> (number of words, word spans in bytes or None, mask or None, item ids)."""
-    import numpy as np
-
-    find, spans = re.compile(WORD).findall, re.compile(WORD).finditer
-    grams: dict[int, dict[tuple, set]] = {}
-    for i, text in items:
-        w = find(text.encode("utf-8", "surrogatepass").lower())
-        k = min(n, len(w))
-        for j in range(len(w) - k + 1) if k else ():
-            grams.setdefault(k, {}).setdefault(tuple(w[j : j + k]), set()).add(i)
-
-    def rolled(h, k):
-        out = np.zeros(max(0, len(h) - k + 1), np.uint64)
-        for j in range(k):
-            out *= np.uint64(MULT)
-            out += h[j : len(h) - k + 1 + j]
-        return (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(42)
-
-    hashes = lambda w: np.fromiter(map(hash, w), np.int64, len(w)).view(np.uint64)
-    filters = {}
-    for k, g in grams.items():
-        filters[k] = np.zeros(1 << 22, bool)
-        for t in g:
-            filters[k][rolled(hashes(t), k)] = True
-
-    def scan(b: bytes, want_spans: bool = False):
-        w = find(b)
-        h, mask, ids = hashes(w), None, set()
-        for k, g in grams.items():
-            if len(w) < k:
-                continue
-            for j in np.flatnonzero(filters[k][rolled(h, k)]).tolist():
-                if (got := g.get(tuple(w[j : j + k]))) is not None:
-                    ids |= got
-                    mask = np.zeros(len(w), bool) if mask is None else mask
-                    mask[j : j + k] = True
-        return len(w), [m.span() for m in spans(b)] if want_spans and mask is not None else None, mask, ids
-
-    return scan
+#: Most bytes of benchmark text in one broadcast, on average: its windows take about eight times as much in a task. A larger benchmark is scanned in blocks of this size, each a pass over the documents; so many passes follow each other in one stage.
+BLOCK_BYTES, PASSES = 8_000_000, 4
+#: An item with more windows is sent in pieces that overlap by a window less a word.
+PIECE = 100_000
+_INSIDE = np.zeros(256, bool)
+_INSIDE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+HITS, ITEMS, WORDS = "_granary_hits", "_granary_items", "_granary_words"
+
+
+def tokens(text: str | None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The text as lower-cased UTF-8, and first byte, end and hash of its words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``."""
+    raw = (text or "").encode("utf-8", "surrogatepass").lower()
+    b = np.frombuffer(raw, np.uint8)
+    return (raw, *hashed_words(b, _INSIDE[b]))
+
+
+class Grams:
+    """The windows of benchmark items: for each length, sorted hashes, and the item and bytes that each comes from. Holds arrays only, built once, and is the same in every process."""
+
+    def __init__(self, items: list[tuple[str, str]], n: int):
+        self.ids, self.text, found = [i for i, _ in items], [], {}
+        for k, (_, text) in enumerate(items):
+            raw, first, end, h = tokens(text)
+            self.text.append(raw)
+            size = min(n, len(h))
+            if size:
+                m = len(h) - size + 1
+                found.setdefault(size, []).append((windows(h, size), np.full(m, k, np.int32), first[:m].astype(np.int32), end[size - 1 :].astype(np.int32)))
+        self.tables = {}
+        for size, parts in found.items():
+            h, item, first, end = map(np.concatenate, zip(*parts))
+            order = np.lexsort((item, h))
+            h, item, first, end = h[order], item[order], first[order], end[order]
+            keep = np.ones(len(h), bool)
+            for k in np.flatnonzero((h[1:] == h[:-1]) & (item[1:] == item[:-1])) + 1:  # the same window again in an item
+                keep[k] = self.text[item[k]][first[k] : end[k]] != self.text[item[k - 1]][first[k - 1] : end[k - 1]]
+            self.tables[size] = tuple(x[keep] for x in (h, item, first, end))
+        self.filters = None
+
+    def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
+        """Number of words, runs of hit words, and the items with windows in the text."""
+        if self.filters is None:  # one look-up rules out nearly all windows
+            self.filters = {}
+            for size, (h, *_) in self.tables.items():
+                bits = min(26, max(16, len(h).bit_length() + 4))
+                self.filters[size] = (np.uint64(64 - bits), np.zeros(1 << bits, bool))
+                self.filters[size][1][(h >> self.filters[size][0]).astype(np.int64)] = True
+        raw, first, end, h = tokens(text)
+        mask, ids = None, set()
+        for size, (keys, item, a, b) in self.tables.items():
+            shift, seen = self.filters[size]
+            g = windows(h, size)
+            at = np.flatnonzero(seen[(g >> shift).astype(np.int64)])
+            low, high = np.searchsorted(keys, g[at]), np.searchsorted(keys, g[at], "right")
+            for j, lo, hi in zip(at[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist()):
+                said = [raw[x:y] for x, y in zip(first[j : j + size].tolist(), end[j : j + size].tolist())]
+                for k in range(lo, hi):
+                    if said == _split(self.text[item[k]][a[k] : b[k]]):
+                        ids.add(self.ids[item[k]])
+                        mask = np.zeros(len(h), bool) if mask is None else mask
+                        mask[j : j + size] = True
+        if mask is None:
+            return len(h), [], ids
+        edge = np.flatnonzero(np.diff(mask, prepend=False, append=False))
+        return len(h), list(zip(edge[::2].tolist(), edge[1::2].tolist())), ids
+
+
+def _split(raw: bytes) -> list[bytes]:
+    b = np.frombuffer(raw, np.uint8)
+    first, end, _ = hashed_words(b, _INSIDE[b])
+    return [raw[x:y] for x, y in zip(first.tolist(), end.tolist())]
+
+
+def _pieces(bench: DataFrame, n: int) -> DataFrame:
+    """Distinct (item, text): whole items, or the pieces of very long ones."""
+    piece = PIECE
+
+    def make():
+        def f(b):
+            out = {"item": [], "text": []}
+            for i, t in zip(b["item"], b["text"]):
+                raw, first, end, _ = tokens(t)
+                for k in range(0, max(1, len(first) - n + 1), piece) if len(first) else ():
+                    stop = min(len(first), k + piece + n - 1)
+                    out["item"].append(i)
+                    out["text"].append(raw[first[k] : end[stop - 1]].decode("utf-8", "replace"))
+            return out
+
+        return f
+
+    items = bench.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").where("text is not null")
+    return arrow_map(items, make, "item string, text string").distinct()
+
+
+def _blocks(bench: DataFrame, n: int):
+    """Broadcasts of Grams, one after the other; only one block of the benchmark is in the driver at a time."""
+    pieces = _pieces(bench, n)
+    size = pieces.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    many = max(1, -(-size // BLOCK_BYTES))
+    if many > 1:
+        pieces = pieces.checkpoint()
+    for k in range(many):
+        block = pieces if many == 1 else pieces.where(F.pmod(F.xxhash64("item", "text"), F.lit(many)) == k)
+        yield k == many - 1, bench.sparkSession.sparkContext.broadcast(Grams([(r.item, r.text) for r in block.collect()], n))
+
+
+def hits(docs: DataFrame, bench: DataFrame, n: int, drop: tuple[str, ...] = ()) -> DataFrame:
+    """docs with the number of words, the runs of hit words and the items found, over all blocks of the benchmark; without the columns in ``drop``. No shuffle; a text is scanned as it is, whatever the blocks."""
+    ready(docs.sparkSession)
+    docs = docs.withColumns({WORDS: F.lit(0).cast("long"), HITS: F.array().cast("array<struct<s:int,e:int>>"), ITEMS: F.array().cast("array<string>")})
+    for k, (last, sent) in enumerate(_blocks(bench, n)):
+        names = [c for c in docs.columns if not last or c not in drop]
+        docs = docs.mapInArrow(_pass(sent, names), StructType([docs.schema[c] for c in names]))
+        if not last and k % PASSES == PASSES - 1:
+            docs = docs.checkpoint()
+    return docs
+
+
+def _pass(sent, names: list[str]) -> Callable:
+    def run(batches):
+        import pyarrow as pa
+
+        grams = sent.value
+        for b in batches:
+            words, runs, items = [], [], []
+            for t, r, i in zip(b.column("text").to_pylist(), b.column(HITS).to_pylist(), b.column(ITEMS).to_pylist()):
+                many, new, ids = grams.scan(t)
+                words.append(many)
+                runs.append(_united([*((x["s"], x["e"]) for x in r), *new]) if new else r)
+                items.append(sorted({*i, *ids}))
+            said = {WORDS: words, HITS: runs, ITEMS: items}
+            cols = [pa.array(said[c], b.schema.field(c).type) if c in said else b.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return run
+
+
+def _united(runs: list[tuple[int, int]]) -> list[dict]:
+    out: list[dict] = []
+    for s, e in sorted(runs):
+        if out and s <= out[-1]["e"]:
+            out[-1]["e"] = max(out[-1]["e"], e)
+        else:
+            out.append({"s": s, "e": e})
+    return out
 
 
 def contamination(docs: DataFrame, bench: DataFrame, n: int = N) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for docs (doc_id, text) against bench (item_id, text).
 
-    A benchmark of a bounded size is broadcast as one hash set; a larger one goes in blocks, each a pass, whose hit positions are united. Null or wordless text: no words, not contaminated. Null item ids count as one item named ''. Equal rows count one by one; an empty benchmark hits nothing.
+    A benchmark of a bounded size is broadcast as one set of hashed windows; a larger one goes in blocks, each a pass, whose hit positions are united. Equal hashes are verified on the words themselves. Null or wordless text: no words, not contaminated. Null item ids count as one item named ''. Equal rows count one by one; an empty benchmark hits nothing; an empty table gives no rows. Other columns are ignored.
     """
-    spark, blocks, parts = docs.sparkSession, _blocks(bench), []
-    for items in blocks:
-        sent = spark.sparkContext.broadcast(items)
-
-        def make(sent=sent, whole=len(blocks) == 1):
-            scan = _scanner(sent.value, n)
-
-            def f(b):
-                out = {k: [] for k in ("key", "doc_id", "n_words", "n_hit", "hit", "ids", "items_sha256")}
-                for key, i, t in zip(b["key"], b["doc_id"], b["text"]):
-                    words, _, mask, ids = scan((t or "").encode("utf-8", "surrogatepass").lower())
-                    for k, v in zip(out, (key, i, words, 0 if mask is None else int(mask.sum()), [] if whole or mask is None else mask.nonzero()[0].tolist(), sorted(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest())):
-                        out[k].append(v)
-                return out
-
-            return f
-
-        key = F.lit(0).cast("long") if len(blocks) == 1 else F.xxhash64("doc_id", "text")
-        kind = docs.schema["doc_id"].dataType.simpleString()
-        parts.append(arrow_map(docs.select(key.alias("key"), "doc_id", "text"), make, f"key long, doc_id {kind}, n_words long, n_hit long, hit array<int>, ids array<string>, items_sha256 string"))
-    if len(parts) == 1:
-        return parts[0].select("doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"), "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionAll(p)
-    one = union.groupBy("key", "doc_id", "n_words").agg(F.count("*").alias("copies"), F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids"))
-    one = one.withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("copies") / len(parts)).cast("int"))))
-    return one.select("doc_id", "n_words", F.size("hit").cast("long").alias("n_hit"), F.size("ids").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "ids"), 256).alias("items_sha256"), (F.size("hit") > 0).alias("contaminated"))
+    found = hits(docs.select("doc_id", "text"), bench, n, drop=("text",))
+    n_hit = F.aggregate(HITS, F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
+    return found.select("doc_id", F.col(WORDS).alias("n_words"), n_hit.alias("n_hit"), F.size(ITEMS).cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort(ITEMS), ","), 256).alias("items_sha256"), (F.size(HITS) > 0).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, *, remove: str = "documents", n: int = N) -> DataFrame:
-    """The documents without hit ones (remove='documents'), or all with their hit spans cut out (remove='spans': first to last byte of each run of hit words). Columns stay; rows with null text stay. n_chars follows the text where there is such a column."""
-    spark, at = docs.sparkSession, docs.columns.index("text")
-    for items in _blocks(bench):
-        sent = spark.sparkContext.broadcast(items)
-
-        def run(batches, sent=sent):
-            import pyarrow as pa
-            import pyarrow.compute as pc
-
-            scan = _scanner(sent.value, n)
-            for b in batches:
-                keep, texts = [], []
-                for t in b.column(at).to_pylist():
-                    raw = (t or "").encode("utf-8", "surrogatepass")
-                    _, where, mask, _ = scan(raw.lower(), remove == "spans")
-                    keep.append(mask is None or remove == "spans")
-                    if mask is not None and remove == "spans":
-                        hit, out, last = mask.nonzero()[0].tolist(), [], 0
-                        for k, j in enumerate(hit):
-                            if k == 0 or hit[k - 1] != j - 1:
-                                out.append(raw[last : where[j][0]])
-                            last = where[j][1]
-                        t = b"".join([*out, raw[last:]]).decode("utf-8", "surrogatepass")
-                    texts.append(t)
-                cols = list(b.columns)
-                cols[at] = pa.array(texts, pa.string())
-                if "n_chars" in b.schema.names and remove == "spans":
-                    k = b.schema.names.index("n_chars")
-                    cols[k] = pc.cast(pc.utf8_length(cols[at]), b.schema.field(k).type)
-                yield pa.RecordBatch.from_arrays(cols, names=b.schema.names).filter(pa.array(keep, pa.bool_()))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    """The documents without hit ones (remove='documents'), or all with their hit spans cut out (remove='spans': first to last byte of each run of hit words, found on the text as it was). Columns stay; rows with null text stay. n_chars follows the text where there is such a column. An empty benchmark changes nothing."""
+    found = hits(docs, bench, n)
+    if remove == "documents":
+        return found.where(F.size(HITS) == 0).select(*docs.columns)
+    at = docs.columns.index("text")
+
+    def cut(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            texts = []
+            for t, runs in zip(b.column("text").to_pylist(), b.column(HITS).to_pylist()):
+                if runs:
+                    raw, (_, first, end, _) = t.encode("utf-8", "surrogatepass"), tokens(t)
+                    edges = [0, *(x for r in runs for x in (first[r["s"]], end[r["e"] - 1])), len(raw)]
+                    t = b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2])).decode("utf-8", "surrogatepass")
+                texts.append(t)
+            cols = list(b.columns[: len(docs_columns)])
+            cols[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names=docs_columns)
+
+    docs_columns = docs.columns
+    out = found.mapInArrow(cut, docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -23,16 +23,32 @@ def powers(n: int) -> np.ndarray:
     return _powers
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """A hash for each word ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased."""
-    b = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
-    at = np.flatnonzero(~_SPACE[b])
+def hashed_words(b: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end and hash of each run of bytes that are ``inside`` a word."""
+    at = np.flatnonzero(inside)
     if not len(at):
-        return np.zeros(0, np.uint64)
+        return at, at, np.zeros(0, np.uint64)
     first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
     n = np.diff(first, append=len(at))
     place = np.arange(len(at)) - np.repeat(first, n)
-    return mix(np.add.reduceat((b[at].astype(np.uint64) + np.uint64(1)) * powers(int(n.max()))[place], first) + n.astype(np.uint64))
+    h = mix(np.add.reduceat((b[at].astype(np.uint64) + np.uint64(1)) * powers(int(n.max()))[place], first) + n.astype(np.uint64))
+    return at[first], at[first] + n, h
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A hash for each word ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased."""
+    b = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+    return hashed_words(b, ~_SPACE[b])[2]
+
+
+def windows(h: np.ndarray, k: int) -> np.ndarray:
+    """A hash for each run of k words."""
+    if len(h) < k:
+        return h[:0]
+    out = np.full(len(h) - k + 1, np.uint64(k), np.uint64)
+    for j in range(k):
+        out = out * M1 + h[j : len(h) - k + 1 + j]
+    return mix(out)
 
 
 def shingle_set(text: str | None, k: int) -> np.ndarray:
@@ -40,11 +56,7 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     h = word_hashes(text)
     if not len(h):
         return h
-    size = min(k, len(h))
-    out = np.full(len(h) - size + 1, np.uint64(size), np.uint64)
-    for j in range(size):
-        out = out * M1 + h[j : len(h) - size + 1 + j]
-    return np.unique(mix(out))
+    return np.unique(windows(h, min(k, len(h))))
 
 
 def digest(x: np.ndarray) -> int:

@@ -495,3 +495,68 @@ def test_contamination_edges_and_blocks(spark, monkeypatch):
     cut = [r.text for r in decontam.decontaminate(docs, bench, remove="spans").orderBy("doc_id", "text").collect()]
     assert cut == ["!", ", away", None, "a ", "a "]
     assert decontam.contamination(docs, bench.where("false")).where("contaminated").count() == 0
+
+
+# ---- sizes and switches change nothing ----
+
+
+def test_long_words_are_scored_like_short_ones():
+    lattice = langid.Lattice(langid.pieces())
+    w = lattice.weights(np.random.default_rng(0).dirichlet(np.ones(lattice.size), 3).T)
+    words = ["tree", "internationalisation" * 4, "verylongword" * 20, "ab" * 700]
+    for word, got in zip(words, lattice.score(words, w)):
+        codes, n = lattice.codes([word])
+        ids, log = lattice.ids(codes), [np.zeros(3)]
+        for j in range(1, int(n[0]) + 1):
+            log.append(np.logaddexp.reduce([log[j - k] + np.log(np.maximum(w[ids[k - 1][0, j - k]], 1e-300)) for k in range(1, min(len(ids), j) + 1)]))
+        assert np.allclose(got, log[-1] - n[0] * np.log(langid.SCALE), rtol=1e-9)
+
+
+def test_numerals_are_no_letters(spark):
+    assert langid._letters("½ ² ① a½b") == ["a", "b"]
+    docs = spark.createDataFrame([(k, "the cat sat on the mat", "en") for k in range(8)] + [(9, "½ ² ①", "en")], "doc_id long, text string, lang string")
+    assert by_id(langid.identify(docs))[9].lang_pred == "und"
+
+
+def test_licenses_need_the_order_of_their_template():
+    s, w = licenses.Scanner(), licenses.TEMPLATES["bsd"].split()
+    backwards = [x for k in range(len(w) // 12, -1, -1) for x in w[12 * k : 12 * k + 12]]
+    assert s.scan(" ".join(backwards))["spans"] == []
+    twice = s.scan("a b " + " ".join(w) + " c d " + " ".join(w))["spans"]
+    assert [(x[0], x[3]) for x in twice] == [("bsd", 1.0)] * 2 and twice[0][1] == 2 and twice[1][1] == twice[0][2] + 2
+    for name, text in licenses.TEMPLATES.items():
+        assert name in {x[0] for x in s.scan("so it says here: " + text)["spans"]}
+
+
+def test_chain_is_the_longest_rising_one():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        points = [(i, int(t)) for i, t in enumerate(rng.integers(0, 12, 14))]
+        c = licenses.Chain()
+        for p in points:
+            c.add(p)
+        best = max(sum(1 for _ in x) for n in range(1, 8) for x in combinations(points, n) if all(a[1] < b[1] for a, b in zip(x, x[1:])))
+        assert min(7, len(c.best())) == best and all(a[0] < b[0] and a[1] < b[1] for a, b in zip(c.best(), c.best()[1:]))
+
+
+@pytest.mark.parametrize("block", [5, 60, 10**9])
+def test_blocks_of_the_benchmark_change_nothing(spark, monkeypatch, block):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontam, "PASSES", 2)
+    bench = spark.createDataFrame([("p", "a1 a2 a3 a4"), ("q", "a3 a4 a5 a6"), ("r", None), ("r", "one"), ("s", "b1 b2 b3 b4 b5"), ("t", "b2 b3 b4 b5 b6")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "z A1, a2 a3 a4 a5 a6. y", 5), (2, None, 0), (3, "b1 b2 b3 b4 b5 b6 c", 1), (4, "", 0), (5, "one by one", 9)], "doc_id long, text string, n_chars long").withColumn("hits", F.lit("x"))
+    got = by_id(decontam.decontaminate(docs, bench, remove="spans", n=4))
+    assert {k: r.text for k, r in got.items()} == {1: "z . y", 2: None, 3: " c", 4: "", 5: " by "}
+    assert got[1].n_chars == 5 and got[1].hits == "x"
+    assert sorted(by_id(decontam.decontaminate(docs, bench, n=4))) == [2, 4]
+    n = by_id(decontam.contamination(docs, bench, n=4))
+    assert [(n[k].n_words, n[k].n_hit, n[k].n_items) for k in (1, 2, 3, 5)] == [(8, 6, 2), (0, 0, 0), (7, 6, 2), (3, 2, 1)]
+    assert n[3].items_sha256 == hashlib.sha256(b"s,t").hexdigest()
+    assert decontam.contamination(docs.limit(0), bench).collect() == [] and not any(r.contaminated for r in decontam.contamination(docs, bench.limit(0)).collect())
+
+
+def test_pieces_of_long_items_hold_every_window(spark, monkeypatch):
+    words = [f"w{k}" for k in range(57)]
+    docs = spark.createDataFrame([(k, " ".join(words[k : k + 10])) for k in range(48)], "doc_id long, text string")
+    monkeypatch.setattr(decontam, "PIECE", 7)
+    assert all(r.n_hit == 10 and r.n_items == 1 for r in decontam.contamination(docs, spark.createDataFrame([("x", " ".join(words))], "item_id string, text string")).collect())
