@@ -394,15 +394,31 @@ def test_each_feature_rejects_alone(spark):
     assert not any(r.base_failed or r.kept for i, r in got.items() if i >= 1000)
 
 
-def test_distance_equals_numpy(spark):
-    rng = np.random.default_rng(4)
-    x = rng.integers(-3000, 3000, (50, 4))
-    df = spark.createDataFrame([("en", "s", *map(int, r)) for r in x], "lang string, source string, f0 long, f1 long, f2 long, f3 long")
-    g = quality._moments(df, 1.0)
-    got = [r.d for r in quality._with(df, g).select("f0", quality._distance().alias("d")).collect()]
-    cov = np.cov(x.T, bias=True) + np.diag([1e6 * v * v for v in quality.FEATURES.values()])
-    want = [float(v @ np.linalg.inv(cov) @ v) for v in x - x.mean(0)]
-    assert np.allclose(sorted(got), sorted(want))
+def test_estimates_have_the_least_determinant(spark):
+    """Against all subsets of small groups, with outliers in about a quarter of the rows."""
+    rng, rows = np.random.default_rng(5), []
+    for k in range(3):
+        a = rng.normal(size=(4, 4)) * 20_000
+        x = rng.normal(size=(12 + k % 2, 4)) @ a.T
+        rows += [(f"g{k}", None, *map(int, v)) for v in np.vstack([x, x[: 4 - k % 2] + 2_000_000 * rng.normal(size=(4 - k % 2, 4))]).round()]
+    df = spark.createDataFrame(rows, "lang string, source string, f0 long, f1 long, f2 long, f3 long").checkpoint()
+    got = {r.lang: r for r in quality.estimates(df).collect()}
+    for k in range(3):
+        x = np.array([r[2:] for r in rows if r[0] == f"g{k}"], float)
+        h = math.ceil(quality.SUPPORT * len(x))
+        best = min(combinations(range(len(x)), h), key=lambda c: np.linalg.det(np.cov(x[list(c)].T, bias=True)))
+        cov = np.cov(x[list(best)].T, bias=True) * quality.consistency()
+        r = got[f"g{k}"]
+        assert np.allclose([r[f"c{i}"] for i in range(4)], x[list(best)].mean(0))
+        assert np.allclose([r[f"l{i}{j}"] for i in range(4) for j in range(i + 1)], [np.linalg.cholesky(cov)[i, j] for i in range(4) for j in range(i + 1)])
+        assert np.isclose(r.det, np.log(np.linalg.det(cov)) / 2)
+    d = sorted(r.d2 for r in quality.outliers(df).collect())
+    assert 1 < np.median(d) < 10 and sum(x > quality.CUTOFF for x in d) >= 6
+
+
+def test_singular_groups_and_one_row(spark):
+    df = spark.createDataFrame([("a", "s", 5, 0, 0, 0)] * 9 + [("a", "s", 5, 9000, 0, 0), ("b", None, 1, 2, 3, 4)], "lang string, source string, f0 long, f1 long, f2 long, f3 long").checkpoint()
+    assert sorted(round(r.d2, 6) for r in quality.outliers(df).collect()) == [0.0] * 10 + [(9000 / (1000 * quality.FEATURES["f1"])) ** 2]
 
 
 # ---- suffixes ----
