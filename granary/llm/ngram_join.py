@@ -1,8 +1,8 @@
 """N-gram Jaccard join on signature trees.
 
-1. Each distinct shingle set is a node. Sets of a size family are cut into k parts by hash, k above the most differences that two linked sets can have: linked sets have at least one equal part that is not empty (see ``signatures``). Nodes that share a part's hash are candidates; only (hash, node) pairs are shuffled.
-2. Connected candidates are a block; a block is dealt into tiles of bounded size, and every two tiles meet in a task of their own, so no block of any size comes together in one task.
-3. In a task, signature trees over the tiles are traversed in pairs: a node holds the OR of its sets' token bitmaps and the range of their sizes. Node pairs are pruned if the largest possible overlap is too small, or if all their sets are connected already.
+1. Each distinct shingle set is a node. Sets of a size family are cut into k parts by hash, k above the most differences that two linked sets can have: linked sets have at least one equal part that is not empty (see ``signatures``). Nodes that share a part's hash are candidates; only (hash, node) pairs are shuffled, and what shares a hash within a batch is linked there. At the size of a corpus, bitmaps of whole tiles are full and prune nothing, so this step, not the upper levels of a tree, keeps unlike sets apart.
+2. Connected candidates are a block; a block is dealt into tiles of bounded size. Each tile is joined by itself, together with the block's first set. Where that leaves more than one component in a block, the sets outside the largest one meet all others, tile by tile, in tasks of their own; no block of any size comes together in one task.
+3. In a task, signature trees over the sets are traversed in pairs: a node holds the OR of its sets' token bitmaps and the range of their sizes. Node pairs are pruned if the largest possible overlap is too small, or if all their sets are connected already.
 4. The links found, a spanning forest for each task, give the components.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from granary.llm.common import arrow_map, components, release
+from granary.llm.common import arrow_map, components, ready, release
 from granary.llm.shingles import M1, digest, mix, shingle_set
 
 K, PERCENT = 4, 85
@@ -85,9 +85,10 @@ class Tree:
         return level[0]
 
 
-def tree_join(sets: list[np.ndarray], left: list[int], right: list[int] | None, percent: int) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the links among ``left``, or between left and right: dual traversal with pruning."""
-    parent = list(range(len(sets)))
+def tree_join(sets: list[np.ndarray], left: list[int], right: list[int] | None, percent: int, known: list | None = None) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the links among ``left``, or between left and right: dual traversal with pruning. Sets with equal ``known`` are connected already."""
+    first: dict = {}
+    parent = [first.setdefault(known[i], i) if known else i for i in range(len(sets))]
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -136,22 +137,33 @@ def tree_join(sets: list[np.ndarray], left: list[int], right: list[int] | None,
             stack += [(x, b) for x in a.children]
 
 
-def _nodes(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, text hash, n, node: the digest of the shingle set, null without words."""
+def _nodes(docs: DataFrame, k: int, seed: int) -> DataFrame:
+    """doc_id, text hash, n, node: the digest of the shingle set, null without words; and another digest."""
 
     def make():
         def f(b):
             sets = [shingle_set(t, k) for t in b["text"]]
-            return b | {"n": [len(x) for x in sets], "node": [digest(x) if len(x) else None for x in sets]}
+            return b | {"n": [len(x) for x in sets], "node": [digest(x, seed) if len(x) else None for x in sets], "check": [digest(x, seed + 1) if len(x) else None for x in sets]}
 
         return f
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("hash"), "text"), make, f"doc_id {kind}, hash long, n long, node long")
+    return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("hash"), "text"), make, f"doc_id {kind}, hash long, n long, node long, check long")
 
 
-def _candidates(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Distinct (a, b): nodes that share a signature with a smaller node, and the least such node."""
+def _distinct_nodes(docs: DataFrame, k: int) -> tuple[DataFrame, int]:
+    """The nodes, and the seed under which no two sets have the same digest: of sets with equal digests, the other digest and the size are equal, too."""
+    seed = 0
+    while True:
+        nodes = _nodes(docs, k, seed).checkpoint()
+        said = nodes.where("node is not null").groupBy("node").agg(F.min(F.struct("n", "check")).alias("x"), F.max(F.struct("n", "check")).alias("y"))
+        if said.where("x <> y").isEmpty():
+            return nodes.drop("check"), seed
+        seed += 2
+
+
+def _candidates(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
+    """Distinct (a, b): nodes that share a signature with a smaller node, and the least such node of the batch or of all. Of a batch's nodes with a signature only the least is sent on for it, so a signature that very many nodes share gives a row a batch."""
 
     def make():
         from pyarrow import array
@@ -159,10 +171,10 @@ def _candidates(docs: DataFrame, k: int, percent: int) -> DataFrame:
         seen: set[int] = set()
 
         def f(b):
-            sig, node = [np.zeros(0, np.uint64)], []
+            sig, node = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for t in b["text"]:
                 x = shingle_set(t, k)
-                if len(x) and (d := digest(x)) not in seen:  # a task tells of each set once
+                if len(x) and (d := digest(x, seed)) not in seen:  # a task tells of each set once
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(d)
@@ -170,54 +182,87 @@ def _candidates(docs: DataFrame, k: int, percent: int) -> DataFrame:
                         bounds[:] = families(percent, 2 * len(x))
                     sig.append(signatures(x, percent, bounds))
                     node.append(np.full(len(sig[-1]), d, np.int64))
-            return {"sig": array(np.concatenate(sig).view(np.int64)), "node": array(np.concatenate([np.zeros(0, np.int64), *node]))}
+            sig, node = np.concatenate(sig).view(np.int64), np.concatenate(node)
+            order = np.lexsort((node, sig))
+            sig, node = sig[order], node[order]
+            new = np.diff(sig, prepend=sig[:1] - 1) != 0
+            least = node[np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))]
+            link = node > least
+            pairs = np.unique(np.stack([node[link], least[link]]), axis=1)
+            n = int(new.sum())
+            return {"sig": array(np.concatenate([sig[new], pairs[0]])), "node": array(np.concatenate([node[new], pairs[0]])), "b": array(np.concatenate([np.zeros(n, np.int64), pairs[1]]), mask=np.arange(n + pairs.shape[1]) < n)}
 
         bounds = families(percent, 1_000_000)
         return f
 
-    sigs = arrow_map(docs.select("text"), make, "sig long, node long")
-    return sigs.withColumn("b", F.min("node").over(Window.partitionBy("sig"))).where("node > b").select(F.col("node").alias("a"), "b").distinct()
+    sigs = arrow_map(docs.select("text"), make, "sig long, node long, b long")
+    least = F.coalesce("b", F.min(F.when(F.col("b").isNull(), F.col("node"))).over(Window.partitionBy("sig")))
+    return sigs.select(F.col("node").alias("a"), least.alias("b")).where("a > b").distinct()
+
+
+def _joined(met: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the groups (block, i, j) of sets; ``left`` tells the two sides, null where all are one."""
+
+    def join(group):
+        import pyarrow as pa
+
+        rows = {n: (side, known, np.frombuffer(s, np.uint64)) for n, side, known, s in zip(*(group[c].to_pylist() for c in ("node", "left", "known", "set")))}
+        names = sorted(rows)
+        at = {side: [k for k, x in enumerate(names) if rows[x][0] is side] for side in (None, True, False)}
+        left, right = (at[None], None) if at[None] else (at[True], at[False])
+        links = list(tree_join([rows[x][2] for x in names], left, right, percent, [rows[x][1] for x in names])) if left and right != [] else []
+        return pa.table({"a": pa.array([names[x] for x, _ in links], pa.int64()), "b": pa.array([names[y] for _, y in links], pa.int64())})
+
+    return met.groupBy("block", "i", "j").applyInArrow(join, "a long, b long")
+
+
+def _split(by: str, small: DataFrame) -> DataFrame:
+    """The small side of a join in an exchange of its own: the rows of a hot key on the other side can then be split."""
+    return small.repartition(by)
 
 
 def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_shingles, component_id.
 
-    Two documents link when 100 * intersection >= percent * union of their sets of distinct k-word shingles (A-Z lower-cased; fewer than k words are one shingle). component_id is the least doc_id reachable. No words or null text: n_shingles 0, component_id its own. Null doc_ids take part, but name a component only if it has no other. Equal rows: each. Other columns are ignored. Sets are identified by 64-bit digests.
+    Two documents link when 100 * intersection >= percent * union of their sets of distinct k-word shingles (A-Z lower-cased; fewer than k words are one shingle). component_id is the least doc_id reachable. No words or null text: n_shingles 0, component_id its own. Null doc_ids take part, but name a component only if it has no other. Equal rows: each. Empty table: no rows. Other columns are ignored. Sets are named by 64-bit digests, under a seed for which all are distinct.
     """
+    ready(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    nodes = _nodes(docs, k).checkpoint()
-    blocks = components(_candidates(docs, k, percent)).withColumnRenamed("component", "block").checkpoint()
+    nodes, seed = _distinct_nodes(docs, k)
+    blocks = components(_candidates(docs, k, percent, seed)).withColumnRenamed("component", "block").checkpoint()
     release(docs.sparkSession)
-    sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    blocks = blocks.join(sizes, "block").withColumn("at", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    one = nodes.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("x")).join(blocks, "node").select("node", "x.*", "block", "tiles", "at").alias("o")
-    d = docs.withColumn("hash", F.xxhash64("text")).alias("d")
-    texts = d.join(one, F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d.hash") == F.col("o.hash"))).select("node", "block", "tiles", "at", "text")
-
-    def make():
-        return lambda b: b | {"set": [shingle_set(t, k).tobytes() for t in b["text"]]}
+    one = nodes.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("x")).select("node", "x.*")
 
-    sets = arrow_map(texts, make, "node long, block long, tiles int, at int, set binary")
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: F.struct(F.least("at", j).alias("i"), F.greatest("at", j).alias("j"))))
-    met = sets.withColumn("p", pair).select("block", "p.i", "p.j", "at", "node", "set")
+    def sets(members: DataFrame) -> DataFrame:
+        """members (node, ...) with the set of each."""
+        o, d = members.join(one, "node").withColumnRenamed("doc_id", "id").withColumnRenamed("hash", "h"), docs.withColumn("hash", F.xxhash64("text"))
+        texts = d.join(o, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h"))).select(*members.columns, "text")
 
-    def join(group):
-        import pyarrow as pa
+        def make():
+            return lambda b: b | {"set": [shingle_set(t, k).tobytes() for t in b["text"]]}
 
-        block = {}
-        for node, at, s in zip(group["node"].to_pylist(), group["at"].to_pylist(), group["set"].to_pylist()):
-            block[node] = (at, np.frombuffer(s, np.uint64))
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        names = sorted(block)
-        left, right = [n for n, x in enumerate(names) if block[x][0] == i], [n for n, x in enumerate(names) if block[x][0] == j]
-        links = list(tree_join([block[x][1] for x in names], left, None if i == j else right, percent)) if left and right else []
-        return pa.table({"a": pa.array([names[x] for x, _ in links], pa.int64()), "b": pa.array([names[y] for _, y in links], pa.int64())})
+        return arrow_map(texts, make, ", ".join(f"{c} {t}" for c, t in members.dtypes) + ", set binary")
 
-    links = met.groupBy("block", "i", "j").applyInArrow(join, "a long, b long")
+    tiles = blocks.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+    dealt = blocks.join(_split("block", tiles), "block").withColumn("at", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    everywhere = F.when(F.col("node") == F.col("block"), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("at"))
+    met = sets(dealt).select("block", F.explode(everywhere).alias("i"), F.lit(0).alias("j"), F.lit(None).cast("boolean").alias("left"), F.col("node").alias("known"), "node", "set")
+    links = _joined(met, percent).checkpoint()
     found = components(links)
-    named = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    many = dealt.where("tiles > 1").join(_split("node", found), "node", "left").select("block", "node", F.coalesce("component", "node").alias("known"))
+    most = many.groupBy("block", "known").agg(F.count("*").alias("n")).groupBy("block").agg(F.max_by("known", F.struct("n", "known")).alias("most"), F.max("n").alias("inner"), F.sum("n").alias("all")).where("inner < all")
+    rest = many.join(_split("block", most), "block").withColumns({"left": F.col("known") != F.col("most"), "m": F.ceil(F.col("inner") / tile).cast("int"), "u": F.ceil((F.col("all") - F.col("inner")) / tile).cast("int")}).checkpoint()
+    if not rest.isEmpty():
+        rest = rest.withColumn("at", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("left"), F.col("u")).otherwise(F.col("m"))).cast("int"))
+        at, none = F.col("at"), F.lit(None).cast("boolean")
+        pair = lambda i, j, left: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), left.alias("left"))
+        outer = F.transform(F.sequence(F.lit(0), F.col("u") - 1), lambda x: pair(F.least(at, x), F.greatest(at, x), F.when(at != x, at < x)))
+        cross = F.transform(F.sequence(F.lit(0), F.when(F.col("left"), F.col("m")).otherwise(F.col("u")) - 1), lambda x: F.when(F.col("left"), pair(at, -1 - x, F.lit(True))).otherwise(pair(x, -1 - at, F.lit(False))))
+        met = sets(rest).withColumn("p", F.explode(F.when(F.col("left"), F.concat(outer, cross)).otherwise(cross))).select("block", "p.i", "p.j", "p.left", "known", "node", "set")
+        found = components(links.unionAll(_joined(met, percent)))
+    named = nodes.join(_split("node", found), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("node is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return named.join(_split("component", least), "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

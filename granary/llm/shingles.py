@@ -59,7 +59,7 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(windows(h, min(k, len(h))))
 
 
-def digest(x: np.ndarray) -> int:
+def digest(x: np.ndarray, seed: int = 0) -> int:
     """A signed 64-bit hash of a set."""
-    h = (int(mix(x * M1).sum()) + len(x) * int(M2)) % (1 << 64)
+    h = (int(mix(x * M1 + np.uint64(seed)).sum()) + len(x) * int(M2)) % (1 << 64)
     return h - (1 << 64) if h >> 63 else h

@@ -274,7 +274,7 @@ def brute_components(texts, percent=85):
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
-@pytest.mark.parametrize("tile", [2, 256])
+@pytest.mark.parametrize("tile", [1, 2, 256])
 def test_similar_by_brute_force(spark, tile):
     rng = np.random.default_rng(3)
     texts = []
@@ -576,3 +576,19 @@ def test_pieces_of_long_items_hold_every_window(spark, monkeypatch):
     docs = spark.createDataFrame([(k, " ".join(words[k : k + 10])) for k in range(48)], "doc_id long, text string")
     monkeypatch.setattr(decontam, "PIECE", 7)
     assert all(r.n_hit == 10 and r.n_items == 1 for r in decontam.contamination(docs, spark.createDataFrame([("x", " ".join(words))], "item_id string, text string")).collect())
+
+
+def test_equal_digests_are_told_apart(spark, monkeypatch):
+    """A first seed under which all sets have one digest is given up."""
+    real_nodes = ngram_join._nodes
+    monkeypatch.setattr(ngram_join, "_nodes", lambda docs, k, seed: real_nodes(docs, k, seed).withColumn("node", F.lit(7).cast("long")) if seed == 0 else real_nodes(docs, k, seed))
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "g h i j k l")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in ngram_join.similar(docs).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_a_chain_of_near_copies_over_many_tiles(spark):
+    """Neighbours are linked, others are not: components are found across tiles."""
+    words = [f"w{k}" for k in range(400)]
+    docs = [(k, " ".join(words[3 * k : 3 * k + 100])) for k in range(60)] + [(100 + k, " ".join(words[:100]) + f" tail{k}") for k in range(40)]
+    got = {r.doc_id: r.component_id for r in ngram_join.similar(spark.createDataFrame(docs, "doc_id long, text string"), tile=4).collect()}
+    assert set(got.values()) == {0} and len(got) == 100
