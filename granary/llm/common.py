@@ -70,10 +70,15 @@ def ws_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WS, -1), "")
 
 
+def apart(small: DataFrame, key: str) -> DataFrame:
+    """The small side of a join on a long key, so written that Spark does not see that it is dealt by the key already: it then deals out both sides for the join, and can split the rows of a hot key on the other side."""
+    return small.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component = least reachable node) of the edges (a, b). Alternating large-star and small-star steps up to their fixed point, where every edge leads to the least node of its component; every round is checkpointed, so that lost executors cost one round. Groups are only reduced by min, never collected; the minima go through an exchange of their own, so that the joins can split the rows of a hub."""
     both = lambda e: e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = lambda e, own: e.groupBy("a").agg((F.least(F.min("b"), F.col("a")) if own else F.min("b")).alias("m")).repartition("a")
+    least = lambda e, own: apart(e.groupBy("a").agg((F.least(F.min("b"), F.col("a")) if own else F.min("b")).alias("m")), "a")
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
     seen, now = None, (0,)
     while now != seen:

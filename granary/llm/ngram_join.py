@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from granary.llm.common import arrow_map, components, ready, release
+from granary.llm.common import apart, arrow_map, components, ready, release
 from granary.llm.shingles import M1, digest, mix, shingle_set
 
 K, PERCENT = 4, 85
@@ -216,11 +216,6 @@ def _joined(met: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("block", "i", "j").applyInArrow(join, "a long, b long")
 
 
-def _split(by: str, small: DataFrame) -> DataFrame:
-    """The small side of a join in an exchange of its own: the rows of a hot key on the other side can then be split."""
-    return small.repartition(by)
-
-
 def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_shingles, component_id.
 
@@ -244,14 +239,14 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int =
         return arrow_map(texts, make, ", ".join(f"{c} {t}" for c, t in members.dtypes) + ", set binary")
 
     tiles = blocks.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    dealt = blocks.join(_split("block", tiles), "block").withColumn("at", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    dealt = blocks.join(apart(tiles, "block"), "block").withColumn("at", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     everywhere = F.when(F.col("node") == F.col("block"), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("at"))
     met = sets(dealt).select("block", F.explode(everywhere).alias("i"), F.lit(0).alias("j"), F.lit(None).cast("boolean").alias("left"), F.col("node").alias("known"), "node", "set")
     links = _joined(met, percent).checkpoint()
     found = components(links)
-    many = dealt.where("tiles > 1").join(_split("node", found), "node", "left").select("block", "node", F.coalesce("component", "node").alias("known"))
+    many = dealt.where("tiles > 1").join(apart(found, "node"), "node", "left").select("block", "node", F.coalesce("component", "node").alias("known"))
     most = many.groupBy("block", "known").agg(F.count("*").alias("n")).groupBy("block").agg(F.max_by("known", F.struct("n", "known")).alias("most"), F.max("n").alias("inner"), F.sum("n").alias("all")).where("inner < all")
-    rest = many.join(_split("block", most), "block").withColumns({"left": F.col("known") != F.col("most"), "m": F.ceil(F.col("inner") / tile).cast("int"), "u": F.ceil((F.col("all") - F.col("inner")) / tile).cast("int")}).checkpoint()
+    rest = many.join(apart(most, "block"), "block").withColumns({"left": F.col("known") != F.col("most"), "m": F.ceil(F.col("inner") / tile).cast("int"), "u": F.ceil((F.col("all") - F.col("inner")) / tile).cast("int")}).checkpoint()
     if not rest.isEmpty():
         rest = rest.withColumn("at", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("left"), F.col("u")).otherwise(F.col("m"))).cast("int"))
         at, none = F.col("at"), F.lit(None).cast("boolean")
@@ -260,9 +255,9 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int =
         cross = F.transform(F.sequence(F.lit(0), F.when(F.col("left"), F.col("m")).otherwise(F.col("u")) - 1), lambda x: F.when(F.col("left"), pair(at, -1 - x, F.lit(True))).otherwise(pair(x, -1 - at, F.lit(False))))
         met = sets(rest).withColumn("p", F.explode(F.when(F.col("left"), F.concat(outer, cross)).otherwise(cross))).select("block", "p.i", "p.j", "p.left", "known", "node", "set")
         found = components(links.unionAll(_joined(met, percent)))
-    named = nodes.join(_split("node", found), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = nodes.join(apart(found, "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("node is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return named.join(_split("component", least), "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return named.join(apart(least, "component"), "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
