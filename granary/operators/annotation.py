@@ -133,8 +133,7 @@ def pick_subtype(candidates: DataFrame, key: str) -> DataFrame:
 
 def rule_support(claims: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     """claims (key, subtype, markers) against rules (token, requires_any, contradicted_by): all rules whose token is a word of the subtype must hold. Null markers: not checked."""
-    r = F.broadcast(rules) if rules.isLocal() else rules
-    j = claims.join(r, F.array_contains(F.split(F.lower("subtype"), r"[^a-z0-9+]+"), F.col("token")), "left")
+    j = claims.join(rules, F.array_contains(F.split(F.lower("subtype"), r"[^a-z0-9+]+"), F.col("token")), "left")
     holds = F.col("token").isNull() | F.col("markers").isNull() | (F.arrays_overlap("markers", "requires_any") & ~F.coalesce(F.arrays_overlap("markers", "contradicted_by"), F.lit(False)))
     return j.groupBy(key, "subtype").agg(F.min(F.coalesce(holds, F.lit(False))).alias("supported"), F.count("token").alias("n_rules"))
 

@@ -104,7 +104,8 @@ def cluster_sizes(cells: DataFrame, cluster: str, least: int) -> DataFrame:
 def inclusion(cells: DataFrame, tier: str, excluded: tuple[str, ...] = ("Low/Review",)) -> DataFrame:
     """include = tier not excluded; all True if nothing would be left."""
     keep = ~F.coalesce(F.col(tier).isin(*excluded), F.lit(False))
-    return cells.withColumn("include", keep | ~F.max(keep).over(Window.partitionBy(F.lit(1)))) if not cells.where(keep).limit(1).count() else cells.withColumn("include", keep)
+    any_left = cells.agg(F.coalesce(F.max(keep), F.lit(False)).alias("_any"))  # one row
+    return cells.join(any_left, F.lit(True), "left").withColumn("include", keep | ~F.col("_any")).drop("_any")
 
 
 def validation_checks(counts: DataFrame, cells: DataFrame) -> DataFrame:

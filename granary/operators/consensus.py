@@ -115,12 +115,12 @@ def label_map(df: DataFrame, label: str, resolve) -> DataFrame:
 # ---- label trees ----
 
 
-def ancestors(nodes: DataFrame, rounds: int = 8) -> DataFrame:
-    """nodes (node_id, parent_id) -> node_id, level, path from the root. Trees are at most ``rounds`` deep; the vocabulary is a small dimension."""
+def ancestors(nodes: DataFrame) -> DataFrame:
+    """nodes (node_id, parent_id) -> node_id, level, path from the root, of every node that has a way to a root, however deep. The vocabulary is a small dimension; a round a level, until none is added."""
     path = nodes.where("parent_id is null").select("node_id", F.array("node_id").alias("path"))
-    every = path
-    for _ in range(rounds - 1):
-        path = nodes.join(path.select(F.col("node_id").alias("parent_id"), F.col("path").alias("up")), "parent_id").select("node_id", F.concat("up", F.array("node_id")).alias("path"))
+    every, known = path, nodes.select("node_id", "parent_id").where("parent_id is not null")
+    while not path.isEmpty():
+        path = known.join(path.select(F.col("node_id").alias("parent_id"), F.col("path").alias("up")), "parent_id").where(~F.array_contains("up", F.col("node_id"))).select("node_id", F.concat("up", F.array("node_id")).alias("path"))
         every = every.unionAll(path)
     return every.withColumn("level", F.size("path") - 1)
 

@@ -233,4 +233,4 @@ def label_resolver(s, d):
     labels = p.select(F.when(z == 0, F.col("p_type")).when(z == 1, F.concat(F.lower("p_type"), F.lit("(+)"))).when(z == 2, F.concat("p_type", F.lit("-CELLS"))).otherwise("zzz").alias("label"))
     v = p.select(F.col("p_type").alias("node_id")).distinct()
     aliases = v.select("node_id", F.col("node_id").alias("raw_label")).unionAll(v.select("node_id", F.concat("node_id", F.lit("+")))).unionAll(v.select("node_id", F.concat("node_id", F.lit(" cell"))))
-    return resolver.resolve(labels, aliases, v.withColumn("level", F.lit(1)), fuzzy=False)
+    return resolver.resolve(labels, aliases, v.withColumn("level", F.lit(1))).drop("states")

@@ -67,8 +67,9 @@ def matrix_market(spark: SparkSession, folder: str) -> DataFrame:
 
 def check_raw_counts(df: DataFrame, column: str = "count") -> DataFrame:
     """One row: how many stored values are not finite, negative or not integers."""
-    x = F.col(column)
-    return df.agg(F.count_if(F.isnan(x) | x.isNull() | (F.abs(x) == float("inf"))).alias("not_finite"), F.count_if(x < 0).alias("negative"), F.count_if(F.abs(x - F.rint(x)) > 1e-8).alias("not_integer"))
+    x = F.col(column).cast("double")
+    finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    return df.agg(F.count_if(~finite).alias("not_finite"), F.count_if(x < 0).alias("negative"), F.count_if(finite & (F.abs(x - F.rint(x)) > 1e-8)).alias("not_integer"))
 
 
 def group_map(spark: SparkSession, path: str) -> DataFrame:
