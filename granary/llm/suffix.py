@@ -1,6 +1,6 @@
 """Suffix-array deduplication of long repeated byte strings.
 
-Every WINDOW-byte string holds the winnowing anchor that its own bytes select: the Q-gram of least hash. Equal strings select the same anchor, so only anchors that occur twice matter. An anchor's context is all that a window around it can hold. Equal contexts are found by hash; where contexts of one anchor differ, the distinct ones go to a shard, whose suffixes are sorted by external induced sorting: neighbours with a common prefix of WINDOW bytes are the repeats.
+Every WINDOW-byte string holds the winnowing anchor that its own bytes select: the Q-gram of least hash. Equal strings select the same anchor, so only anchors that occur twice matter. An anchor's context is all that a window around it can hold. Equal contexts are found by hash; where contexts of one anchor differ, the distinct ones go to a shard, whose suffixes are sorted by induced sorting over disk-backed bucket queues: neighbours with a common prefix of WINDOW bytes are the repeats. An anchor with more contexts than a shard holds is parted by the bytes that windows share, down to single windows, so a shard is bounded and its text and arrays fit in a task; what the method asks for beyond that (common prefixes carried in the queues, recursion over more than one level, shards larger than memory) is not done.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from granary.llm.common import arrow_map, release
+from granary.llm.common import arrow_map, ready, release
 from granary.llm.shingles import M1, M2, mix
 
 WINDOW, Q = 100, 32
@@ -45,7 +45,7 @@ def anchors(b: np.ndarray) -> np.ndarray:
 
 
 class Queue:
-    """A monotone, disk-backed priority queue for induction: a bucket per first byte. Tuples (position, common prefix with the tuple before) reach a bucket in order, so a bucket is an append-only run; runs beyond HELD entries go to disk and are read back one at a time."""
+    """A monotone, disk-backed priority queue for induction: a bucket per first byte. Positions reach a bucket in order, so a bucket is an append-only run; runs beyond HELD entries go to disk, a file that is gone with the task, and are read back one at a time."""
 
     def __init__(self, buckets: int, held: int = HELD):
         self.held, self.runs, self.n, self.file = held, [[] for _ in range(buckets)], 0, None
@@ -207,12 +207,13 @@ def _runs(starts: np.ndarray, depth: int = WINDOW) -> list[tuple[int, int]]:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """oid, key, n and, exploded, anchor, context hash and position of every anchor."""
+    """oid, key, n and, exploded, anchor, context hash and position of every anchor, and whether an equal context starts earlier in the batch: such a row needs no look at the others, and is dealt out by its document instead of its anchor, so that a passage of very many documents is a row a batch."""
 
     def make():
         def f(b):
             out = {"oid": b["oid"], "key": b["key"], "n": [], "at": []}
-            for t in b["text"]:
+            first: dict[tuple[int, int], tuple] = {}
+            for oid, key, t in zip(b["oid"], b["key"], b["text"]):
                 x = np.frombuffer((t or "").encode("utf-8", "surrogatepass"), np.uint8)
                 p, rows = anchors(x), []
                 out["n"].append(len(x))
@@ -221,14 +222,22 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                     left, right = np.maximum(p - SIDE, 0), np.minimum(p + WINDOW, len(x))
                     ctx = mix((step[right] - step[left]) * _inverse(len(x))[left] + mix((p - left).astype(np.uint64) * M1 + (right - p).astype(np.uint64)))
                     h = _grams(x, Q)[p]
-                    rows = [{"anchor": a, "ctx": c, "pos": q} for a, c, q in zip(h.view(np.int64).tolist(), ctx.view(np.int64).tolist(), p.tolist())]
+                    rows = [{"anchor": a, "ctx": c, "pos": q, "again": False} for a, c, q in zip(h.view(np.int64).tolist(), ctx.view(np.int64).tolist(), p.tolist())]
+                    for r in rows:
+                        at, had = (oid, key, r["pos"]), first.get((r["anchor"], r["ctx"]))
+                        if had is None or at < had[0]:
+                            if had is not None:
+                                had[1]["again"] = True
+                            first[r["anchor"], r["ctx"]] = (at, r)
+                        else:
+                            r["again"] = at > had[0]
                 out["at"].append(rows)
             return out
 
         return f
 
-    rows = arrow_map(docs.select("oid", "key", "text"), make, "oid long, key long, n int, at array<struct<anchor:long,ctx:long,pos:int>>")
-    return rows.select("oid", "key", "n", F.explode("at").alias("x")).select("oid", "key", "n", "x.anchor", "x.ctx", "x.pos")
+    rows = arrow_map(docs.select("oid", "key", "text"), make, "oid long, key long, n int, at array<struct<anchor:long,ctx:long,pos:int,again:boolean>>")
+    return rows.select("oid", "key", "n", F.explode("at").alias("x")).select("oid", "key", "n", "x.anchor", "x.ctx", "x.pos", "x.again")
 
 
 _table: dict[int, np.ndarray] = {}
@@ -248,30 +257,65 @@ def _inverse(n: int) -> np.ndarray:
     return _grown(pow(int(M1), -1, 1 << 64), n)
 
 
+def _split(contexts: DataFrame, most: int) -> DataFrame:
+    """Contexts with the group in which they are sorted, and the range of places [lo, hi] that the anchor has in the windows looked at there.
+
+    At first all of an anchor's contexts are a group, with the places 0 to SIDE. A group of more than ``most`` is parted: the range of places in four, and in each part by the bytes that all windows with these places have in common; a context is cut to those windows. Equal windows stay together, and in the end a group is one window. The groups to be parted are found by counts; four rounds reach single places.
+    """
+    held = contexts.withColumns({"group": F.col("anchor"), "lo": F.lit(0), "hi": F.lit(SIDE)})
+    done = None
+    while True:
+        large = held.where("lo < hi").groupBy("group").agg(F.count("*").alias("many")).where(F.col("many") > most).drop("many").checkpoint()
+        if large.isEmpty():
+            return held if done is None else done.unionByName(held)
+        rest = held.join(large, "group", "left_anti")
+        done = rest if done is None else done.unionByName(rest)
+        step = F.ceil((F.col("hi") - F.col("lo") + 1) / 4).cast("int")
+        parts = F.explode(F.transform(F.sequence(F.col("lo"), F.col("hi"), step), lambda a: F.struct(a.alias("lo"), F.least(a + step - 1, F.col("hi")).alias("hi"))))
+        p = held.join(large, "group", "left_semi").withColumn("p", parts).withColumns({"lo": F.col("p.lo"), "hi": F.col("p.hi")}).drop("p")
+        p = p.where((F.col("off") >= F.col("lo")) & (F.length("context") >= F.col("off") + WINDOW - F.col("hi")))
+        common = F.substring(F.col("context"), F.col("off") - F.col("lo") + 1, F.lit(WINDOW) - F.col("hi") + F.col("lo"))
+        left = F.greatest(F.col("off") - F.col("hi"), F.lit(0))
+        cut = F.substring(F.col("context"), left + 1, F.col("off") + WINDOW - F.col("lo") - left)
+        held = p.select("oid", "key", "anchor", (F.col("start") + left).alias("start"), (F.col("off") - left).alias("off"), cut.alias("context"), F.xxhash64("anchor", "lo", "hi", common).alias("group"), "lo", "hi").checkpoint()
+
+
+def _equal(one: DataFrame) -> DataFrame:
+    """Groups of single windows: all but the first are repeats. The windows themselves are compared; the first is found by a minimum that is merged before the shuffle."""
+    at = F.struct("oid", "key", "start")
+    w = one.where(F.length("context") == WINDOW).select("oid", "key", "start", F.sha2("context", 256).alias("window"))
+    first = w.groupBy("window").agg(F.min(at).alias("first")).select(F.concat("window", F.lit("")).alias("window"), "first")
+    return w.join(first, "window").where(at > F.col("first")).select("oid", "key", F.col("start").alias("s"), (F.col("start") + WINDOW).alias("e"))
+
+
 def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> DataFrame:
-    """docs (key, doc_id, text) -> key, runs: array of byte ranges [s, e) that are repeats. A row for each document with any."""
-    by, every = Window.partitionBy("anchor"), ["oid", "key", "n", "anchor", "ctx", "pos"]
+    """docs (oid, key, doc_id, text) -> oid, key, runs: array of byte ranges [s, e) that are repeats. A row for each document with any."""
+    every = ["oid", "key", "n", "anchor", "ctx", "pos"]
     at = F.struct("oid", "key", "pos")
-    seen = _occurrences(docs.withColumn("oid", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))).withColumn("mixed", F.min("ctx").over(by) < F.max("ctx").over(by)).withColumn("first", F.min(at).over(Window.partitionBy("anchor", "ctx")))
-    seen = seen.where(F.col("mixed") | (at > F.col("first"))).select(*every, "mixed", (at > F.col("first")).alias("late")).checkpoint()
+    seen = _occurrences(docs).withColumn("route", F.when(F.col("again"), F.xxhash64("key", "pos")).otherwise(F.col("anchor")))
+    by = Window.partitionBy("route", "again")
+    seen = seen.withColumn("mixed", ~F.col("again") & (F.min("ctx").over(by) < F.max("ctx").over(by))).withColumn("first", F.when(~F.col("again"), F.min(at).over(Window.partitionBy("route", "again", "ctx"))))
+    late = F.col("again") | (at > F.col("first"))
+    seen = seen.where(F.col("mixed") | late).select(*every, "mixed", late.alias("late")).checkpoint()
     release(docs.sparkSession)
     s0, s1 = F.greatest(F.col("pos") - SIDE, F.lit(0)), F.least(F.col("pos"), F.col("n") - WINDOW)
-    full = seen.where("late").select("key", s0.alias("s"), (s1 + WINDOW).alias("e"))
+    full = seen.where("late").select("oid", "key", s0.alias("s"), (s1 + WINDOW).alias("e"))
     lead = seen.where("mixed and not late")
     shards = F.greatest(F.lit(1), F.ceil(F.lit(lead.count() / shard))).cast("int")
-    lead = lead.groupBy("oid", "key").agg(F.collect_list(F.struct("pos", "anchor")).alias("lead")).join(docs, "key")
+    lead = lead.groupBy("oid", "key").agg(F.collect_list(F.struct("pos", "anchor")).alias("lead")).join(docs, ["oid", "key"])
 
     def make():
         def f(b):
             out = {"oid": b["oid"], "key": b["key"], "at": []}
             for t, lead in zip(b["text"], b["lead"]):
                 x = (t or "").encode("utf-8", "surrogatepass")
-                out["at"].append([{"anchor": a["anchor"], "start": max(0, a["pos"] - SIDE), "context": x[max(0, a["pos"] - SIDE) : a["pos"] + WINDOW]} for a in lead])
+                out["at"].append([{"anchor": a["anchor"], "start": max(0, a["pos"] - SIDE), "off": min(a["pos"], SIDE), "context": x[max(0, a["pos"] - SIDE) : a["pos"] + WINDOW]} for a in lead])
             return out
 
         return f
 
-    contexts = arrow_map(lead.select("oid", "key", "lead", "doc_id", "text"), make, "oid long, key long, at array<struct<anchor:long,start:int,context:binary>>").select("oid", "key", F.explode("at").alias("x")).select("oid", "key", "x.*").withColumn("shard", F.pmod("anchor", shards))
+    contexts = arrow_map(lead.select("oid", "key", "lead", "doc_id", "text"), make, "oid long, key long, at array<struct<anchor:long,start:int,off:int,context:binary>>").select("oid", "key", F.explode("at").alias("x")).select("oid", "key", "x.*")
+    found = _split(contexts, shard).withColumn("shard", F.pmod("group", shards))
 
     def sort(group):
         import pyarrow as pa
@@ -279,19 +323,20 @@ def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> D
         g = group.select(["oid", "key", "start", "context"]).to_pydict()
         doc = {d: i for i, d in enumerate(sorted(set(zip(g["oid"], g["key"]))))}
         order = np.array([doc[d] for d in zip(g["oid"], g["key"])], np.int64) * (1 << 32) + np.array(g["start"], np.int64)
-        rows = [(k, s + a, s + e) for k, s, late in zip(g["key"], g["start"], repeats(g["context"], order, held=held)) for a, e in _runs(late)]
-        return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("key", pa.int64()), ("s", pa.int32()), ("e", pa.int32())))})
+        rows = [(o, k, s + a, s + e) for o, k, s, late in zip(g["oid"], g["key"], g["start"], repeats(g["context"], order, held=held)) for a, e in _runs(late)]
+        return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("oid", pa.int64()), ("key", pa.int64()), ("s", pa.int32()), ("e", pa.int32())))})
 
-    found = contexts.groupBy("shard").applyInArrow(sort, "key long, s int, e int")
-    return full.unionAll(found).distinct().groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
+    sorted_ = found.where("lo < hi").groupBy("shard").applyInArrow(sort, "oid long, key long, s int, e int")
+    return full.unionAll(sorted_).unionAll(_equal(found.where("lo = hi"))).distinct().groupBy("oid", "key").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
 
 
 def dedup(docs: DataFrame, *, shard: int = SHARD, held: int = HELD, keep_text: bool = False) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with keep_text the remaining text (bytes that are no UTF-8 are replaced).
 
-    A byte goes if a 100-byte string over it also starts earlier: in a smaller doc_id, or the same document. Null doc_ids come first. Equal rows are one document, and all are judged alike; other rows with equal ids are ordered by a hash of their text. Null or short text: nothing is removed. Other columns are ignored.
+    A byte goes if a 100-byte string over it also starts earlier: in a smaller doc_id, or the same document. Null doc_ids, and those that are no integers, come first. Equal rows are one document, and all are judged alike; other rows with equal ids are ordered by a hash of their text. Null or short text: nothing is removed. Empty table: no rows. Other columns are ignored.
     """
-    docs = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
+    ready(docs.sparkSession)
+    docs = docs.select(F.coalesce(F.col("doc_id").try_cast("long"), F.lit(-(2**63))).alias("oid"), F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
     runs = repeated_runs(docs, shard=shard, held=held)  # both joins read the same exchange of the texts
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -312,7 +357,7 @@ def dedup(docs: DataFrame, *, shard: int = SHARD, held: int = HELD, keep_text: b
 
         return f
 
-    out = arrow_map(docs.join(runs, "key", "left").select("doc_id", "text", "runs"), make, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
+    out = arrow_map(docs.join(runs, ["oid", "key"], "left").select("doc_id", "text", "runs"), make, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
     return out if keep_text else out.drop("text")
 
 

@@ -462,7 +462,7 @@ def test_dedup_by_brute_force(spark):
         docs.append((i, " ".join(word() for _ in range(int(rng.integers(1, 40)))) + shared[k : k + int(rng.integers(50, 300))] + " ".join(word() for _ in range(int(rng.integers(1, 40))))))
     docs += [(70, docs[10][1]), (71, docs[20][1] + docs[20][1])]
     want = brute_removed(docs)
-    for shard, held in ((20_000, 10**6), (3, 50)):
+    for shard, held in ((20_000, 10**6), (3, 50), (1, 50)):
         got = suffix.dedup(spark.createDataFrame(docs, "doc_id long, text string"), shard=shard, held=held).collect()
         assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
 
@@ -592,3 +592,14 @@ def test_a_chain_of_near_copies_over_many_tiles(spark):
     docs = [(k, " ".join(words[3 * k : 3 * k + 100])) for k in range(60)] + [(100 + k, " ".join(words[:100]) + f" tail{k}") for k in range(40)]
     got = {r.doc_id: r.component_id for r in ngram_join.similar(spark.createDataFrame(docs, "doc_id long, text string"), tile=4).collect()}
     assert set(got.values()) == {0} and len(got) == 100
+
+
+def test_hot_passages_are_parted(spark):
+    """Passages of 40 to 130 bytes in every document, with other text around: shards of two contexts part them down to single windows."""
+    rng = np.random.default_rng(1)
+    word = lambda n: "".join("abcdefghij"[k] for k in rng.integers(0, 10, n))
+    long, short, mid = word(130), word(40), word(104)
+    docs = [(k, f"{word(60)} {long} {word(50)} {short} {word(60)} {mid} {word(40)}") for k in range(30)]
+    want = brute_removed(docs)
+    got = suffix.dedup(spark.createDataFrame([(str(d), t) for d, t in docs], "doc_id string, text string").withColumns({"oid": F.lit(1), "key": F.lit(2)}), shard=2, held=100).collect()
+    assert {int(r.doc_id): (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
