@@ -57,6 +57,11 @@ def _context(text: Column, start: Column) -> Column:
     return F.when(two != "", F.regexp_replace(F.regexp_replace(F.lower(two), r"\s+", " "), "[0-9]", "0"))
 
 
+def _key(*columns) -> Column:
+    """128 bits of the columns: two hashes that start apart, so that spans never reach another text."""
+    return F.concat(F.hex(F.xxhash64(*columns)), F.hex(F.xxhash64(F.lit("granary"), *columns)))
+
+
 def base(docs: DataFrame, *keep: str) -> DataFrame:
     """keep, key, the spans of each kind, and arrays seed and cand of (s, e, instance, pattern). Row by row. Each pattern runs only over texts with a character that it needs."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -71,7 +76,7 @@ def base(docs: DataFrame, *keep: str) -> DataFrame:
     def told(spans):
         return F.filter(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.substring("_t", x["s"] + 1, x["e"] - x["s"]).alias("instance"), _context(F.col("_t"), x["s"]).alias("pattern"))), lambda x: x["pattern"].isNotNull())
 
-    return d.select(*keep, F.xxhash64(*keep, "_t").alias("key"), *KINDS, told(every).alias("seed"), told(F.col("_c")).alias("cand"))
+    return d.select(*keep, _key(*keep, "_t").alias("key"), *KINDS, told(every).alias("seed"), told(F.col("_c")).alias("cand"))
 
 
 def discover(found: DataFrame) -> DataFrame:
@@ -111,7 +116,7 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by <KIND>; overlapping spans as one. Columns stay; n_chars follows the text where there is such a column. Null text stays null."""
-    keyed = docs.withColumn("_granary_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    keyed = docs.withColumn("_granary_key", _key("doc_id", F.coalesce("text", F.lit(""))))
     found = spans(docs.select("doc_id", "text"), "doc_id")
     def named(kind):
         return F.transform(kind, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(f"<{kind.upper()}>").alias("k")))
@@ -120,9 +125,9 @@ def redact(docs: DataFrame) -> DataFrame:
     found = found.where(" + ".join(f"size({k})" for k in (*KINDS, "context")) + " > 0").select(F.col("key").alias("_granary_found"), flat.alias("_granary_spans")).dropDuplicates(["_granary_found"])
     out = F.aggregate(
         "_granary_spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, x: F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(x["s"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.substring("text", a["at"] + 1, x["s"] - a["at"]), x["k"])).alias("out")),
-        lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),  # pieces, not the growing text
+        lambda a, x: F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(x["s"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.array(F.substring("text", a["at"] + 1, x["s"] - a["at"]), x["k"]))).alias("out")),
+        lambda a: F.array_join(F.concat(a["out"], F.array(F.substring(F.col("text"), a["at"] + 1, F.length("text")))), ""),
     )
     d = keyed.join(found, F.col("_granary_key") == F.col("_granary_found"), "left")
     d = d.withColumn("text", F.when(F.col("_granary_spans").isNull(), F.col("text")).otherwise(out))

@@ -257,17 +257,16 @@ def _inverse(n: int) -> np.ndarray:
     return _grown(pow(int(M1), -1, 1 << 64), n)
 
 
-def _split(contexts: DataFrame, most: int) -> DataFrame:
+def _split(contexts: DataFrame, large: DataFrame, most: int) -> DataFrame:
     """Contexts with the group in which they are sorted, and the range of places [lo, hi] that the anchor has in the windows looked at there.
 
-    At first all of an anchor's contexts are a group, with the places 0 to SIDE. A group of more than ``most`` is parted: the range of places in four, and in each part by the bytes that all windows with these places have in common; a context is cut to those windows. Equal windows stay together, and in the end a group is one window. The groups to be parted are found by counts; four rounds reach single places.
+    At first all of an anchor's contexts are a group, with the places 0 to SIDE. A group of more than ``most`` is parted: the range of places in four, and in each part by the bytes that all windows with these places have in common; a context is cut to those windows. Equal windows stay together, and in the end a group is one window. ``large`` are the anchors with more than that; later groups to be parted are found by counts; four rounds reach single places.
     """
     held = contexts.withColumns({"group": F.col("anchor"), "lo": F.lit(0), "hi": F.lit(SIDE)})
-    done = None
-    while True:
-        large = held.where("lo < hi").groupBy("group").agg(F.count("*").alias("many")).where(F.col("many") > most).drop("many").checkpoint()
-        if large.isEmpty():
-            return held if done is None else done.unionByName(held)
+    if large.isEmpty():
+        return held
+    done, held = None, held.checkpoint()
+    while not large.isEmpty():
         rest = held.join(large, "group", "left_anti")
         done = rest if done is None else done.unionByName(rest)
         step = F.ceil((F.col("hi") - F.col("lo") + 1) / 4).cast("int")
@@ -278,6 +277,8 @@ def _split(contexts: DataFrame, most: int) -> DataFrame:
         left = F.greatest(F.col("off") - F.col("hi"), F.lit(0))
         cut = F.substring(F.col("context"), left + 1, F.col("off") + WINDOW - F.col("lo") - left)
         held = p.select("oid", "key", "anchor", (F.col("start") + left).alias("start"), (F.col("off") - left).alias("off"), cut.alias("context"), F.xxhash64("anchor", "lo", "hi", common).alias("group"), "lo", "hi").checkpoint()
+        large = held.where("lo < hi").groupBy("group").agg(F.count("*").alias("many")).where(F.col("many") > most).drop("many").checkpoint()
+    return done.unionByName(held)
 
 
 def _equal(one: DataFrame) -> DataFrame:
@@ -302,6 +303,7 @@ def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> D
     full = seen.where("late").select("oid", "key", s0.alias("s"), (s1 + WINDOW).alias("e"))
     lead = seen.where("mixed and not late")
     shards = F.greatest(F.lit(1), F.ceil(F.lit(lead.count() / shard))).cast("int")
+    large = lead.groupBy(F.col("anchor").alias("group")).agg(F.count("*").alias("many")).where(F.col("many") > shard).drop("many").checkpoint()
     lead = lead.groupBy("oid", "key").agg(F.collect_list(F.struct("pos", "anchor")).alias("lead")).join(docs, ["oid", "key"])
 
     def make():
@@ -315,7 +317,7 @@ def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> D
         return f
 
     contexts = arrow_map(lead.select("oid", "key", "lead", "doc_id", "text"), make, "oid long, key long, at array<struct<anchor:long,start:int,off:int,context:binary>>").select("oid", "key", F.explode("at").alias("x")).select("oid", "key", "x.*")
-    found = _split(contexts, shard).withColumn("shard", F.pmod("group", shards))
+    found = _split(contexts, large, shard).withColumn("shard", F.pmod("group", shards))
 
     def sort(group):
         import pyarrow as pa
