@@ -1,5 +1,7 @@
 """The pipeline's stages, each against a plain statement of what it must do."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from granary.llm.common import ready
 
@@ -60,3 +62,18 @@ def test_near_copies_of_five_words_and_four_fifths_go(spark):
     got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA).collect()}
     assert got == brute_kept(rows, 5, 80) != brute_kept(rows, 4, 85)
     assert 12 not in got and 32 not in got and 42 in got
+
+
+def test_stages_on_edge_tables(spark):
+    """Nulls in any column, empty and very long texts, equal rows, clashing names, an empty table."""
+    rows = [(1, None, None, None, 0), (2, "", "en", "s", 0), (3, "the cat sat on the mat and the dog ran away from it " * 3000, "en", "s", 1), (4, "the dog and the cat are at home today and stay there all day", "en", "s", 2), (4, "the dog and the cat are at home today and stay there all day", "fr", None, 2), (None, "the rain in spain stays mainly in the plain they say", "en", None, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({k: F.lit(7) for k in ("score", "lang_pred", "_kept", "_rows", "_hash", "key", "size")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DATA)
+        assert out.columns == docs.columns and stage(spark, docs.limit(0), DATA).collect() == []
+        kept = out.collect()
+        assert all(r.score == 7 and r.lang_pred == 7 and r.key == 7 for r in kept)
+        assert {r.doc_id for r in kept} >= ({3, 4} if name != "language_id" else set())
+        if name == "near_duplicates":
+            assert len(kept) == 5 and [r.lang for r in kept if r.doc_id == 4] == ["en"]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).count() == 6
