@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from granary.llm.common import arrow_map, ready, release
+from granary.llm.common import apart, arrow_map, ready, release
 from granary.llm.shingles import M1, M2, mix
 
 WINDOW, Q = 100, 32
@@ -257,28 +257,26 @@ def _inverse(n: int) -> np.ndarray:
     return _grown(pow(int(M1), -1, 1 << 64), n)
 
 
-def _split(contexts: DataFrame, large: DataFrame, most: int) -> DataFrame:
+def _split(contexts: DataFrame, most: int) -> DataFrame:
     """Contexts with the group in which they are sorted, and the range of places [lo, hi] that the anchor has in the windows looked at there.
 
-    At first all of an anchor's contexts are a group, with the places 0 to SIDE. A group of more than ``most`` is parted: the range of places in four, and in each part by the bytes that all windows with these places have in common; a context is cut to those windows. Equal windows stay together, and in the end a group is one window. ``large`` are the anchors with more than that; later groups to be parted are found by counts; four rounds reach single places.
+    At first all of an anchor's contexts are a group, with the places 0 to SIDE. A group of more than ``most`` is parted: the range of places in four, and in each part by the bytes that all windows with these places have in common; a context is cut to those windows. Equal windows stay together, and in the end a group is one window. The anchors with more than that are marked ``hot``; later groups to be parted are found by counts, and only their contexts are written again; four rounds reach single places.
     """
-    held = contexts.withColumns({"group": F.col("anchor"), "lo": F.lit(0), "hi": F.lit(SIDE)})
-    if large.isEmpty():
-        return held
-    done, held = None, held.checkpoint()
-    while not large.isEmpty():
-        rest = held.join(large, "group", "left_anti")
-        done = rest if done is None else done.unionByName(rest)
+    every = contexts.withColumns({"group": F.col("anchor"), "lo": F.lit(0), "hi": F.lit(SIDE)})
+    done, held = every.where("not hot").drop("hot"), every.where("hot").drop("hot")
+    while not held.isEmpty():
         step = F.ceil((F.col("hi") - F.col("lo") + 1) / 4).cast("int")
         parts = F.explode(F.transform(F.sequence(F.col("lo"), F.col("hi"), step), lambda a: F.struct(a.alias("lo"), F.least(a + step - 1, F.col("hi")).alias("hi"))))
-        p = held.join(large, "group", "left_semi").withColumn("p", parts).withColumns({"lo": F.col("p.lo"), "hi": F.col("p.hi")}).drop("p")
+        p = held.withColumn("p", parts).withColumns({"lo": F.col("p.lo"), "hi": F.col("p.hi")}).drop("p")
         p = p.where((F.col("off") >= F.col("lo")) & (F.length("context") >= F.col("off") + WINDOW - F.col("hi")))
         common = F.substring(F.col("context"), F.col("off") - F.col("lo") + 1, F.lit(WINDOW) - F.col("hi") + F.col("lo"))
         left = F.greatest(F.col("off") - F.col("hi"), F.lit(0))
         cut = F.substring(F.col("context"), left + 1, F.col("off") + WINDOW - F.col("lo") - left)
-        held = p.select("oid", "key", "anchor", (F.col("start") + left).alias("start"), (F.col("off") - left).alias("off"), cut.alias("context"), F.xxhash64("anchor", "lo", "hi", common).alias("group"), "lo", "hi").checkpoint()
-        large = held.where("lo < hi").groupBy("group").agg(F.count("*").alias("many")).where(F.col("many") > most).drop("many").checkpoint()
-    return done.unionByName(held)
+        p = p.select("oid", "key", "anchor", (F.col("start") + left).alias("start"), (F.col("off") - left).alias("off"), cut.alias("context"), F.xxhash64("anchor", "lo", "hi", common).alias("group"), "lo", "hi").checkpoint()
+        large = p.where("lo < hi").groupBy(F.col("group").alias("g")).agg(F.count("*").alias("many")).where(F.col("many") > most).select("g", F.lit(True).alias("hot"))
+        p = p.join(apart(large, "g"), F.col("group") == F.col("g"), "left").withColumn("hot", F.coalesce("hot", F.lit(False))).drop("g").checkpoint()
+        done, held = done.unionByName(p.where("not hot").drop("hot")), p.where("hot").drop("hot")
+    return done
 
 
 def _equal(one: DataFrame) -> DataFrame:
@@ -303,21 +301,22 @@ def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> D
     full = seen.where("late").select("oid", "key", s0.alias("s"), (s1 + WINDOW).alias("e"))
     lead = seen.where("mixed and not late")
     shards = F.greatest(F.lit(1), F.ceil(F.lit(lead.count() / shard))).cast("int")
-    large = lead.groupBy(F.col("anchor").alias("group")).agg(F.count("*").alias("many")).where(F.col("many") > shard).drop("many").checkpoint()
-    lead = lead.groupBy("oid", "key").agg(F.collect_list(F.struct("pos", "anchor")).alias("lead")).join(docs, ["oid", "key"])
+    large = lead.groupBy(F.col("anchor").alias("group")).agg(F.count("*").alias("many")).where(F.col("many") > shard).select("group", F.lit(True).alias("hot"))
+    lead = lead.join(apart(large, "group"), F.col("anchor") == F.col("group"), "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    lead = lead.groupBy("oid", "key").agg(F.collect_list(F.struct("pos", "anchor", "hot")).alias("lead")).join(docs, ["oid", "key"])
 
     def make():
         def f(b):
             out = {"oid": b["oid"], "key": b["key"], "at": []}
             for t, lead in zip(b["text"], b["lead"]):
                 x = (t or "").encode("utf-8", "surrogatepass")
-                out["at"].append([{"anchor": a["anchor"], "start": max(0, a["pos"] - SIDE), "off": min(a["pos"], SIDE), "context": x[max(0, a["pos"] - SIDE) : a["pos"] + WINDOW]} for a in lead])
+                out["at"].append([{"anchor": a["anchor"], "start": max(0, a["pos"] - SIDE), "off": min(a["pos"], SIDE), "hot": a["hot"], "context": x[max(0, a["pos"] - SIDE) : a["pos"] + WINDOW]} for a in lead])
             return out
 
         return f
 
-    contexts = arrow_map(lead.select("oid", "key", "lead", "doc_id", "text"), make, "oid long, key long, at array<struct<anchor:long,start:int,off:int,context:binary>>").select("oid", "key", F.explode("at").alias("x")).select("oid", "key", "x.*")
-    found = _split(contexts, large, shard).withColumn("shard", F.pmod("group", shards))
+    contexts = arrow_map(lead.select("oid", "key", "lead", "doc_id", "text"), make, "oid long, key long, at array<struct<anchor:long,start:int,off:int,hot:boolean,context:binary>>").select("oid", "key", F.explode("at").alias("x")).select("oid", "key", "x.*").checkpoint()
+    found = _split(contexts, shard).withColumn("shard", F.pmod("group", shards))
 
     def sort(group):
         import pyarrow as pa
