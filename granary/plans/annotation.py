@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import functions as F
 
 from granary.functions import expressions as X
@@ -211,9 +213,10 @@ def neighbour_communities(s, d):
     v = load(s, d, "embeddings").select(F.col("vec_id").cast("long").alias("id"), "embedding")
     e = numeric.nearest(v, v, 10).select(F.col("id").alias("src"), F.col("neighbour").alias("dst"), (1 / (1 + F.col("distance"))).alias("weight"))
     if s.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        s.sparkContext.setCheckpointDir(s.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        folder = s.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        if not folder and not s.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        s.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp())
     return numeric.label_propagation(e)
 
 
