@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import granary.plans.annotation  # noqa: F401
+import granary.plans.derived  # noqa: F401
 from granary.plans.registry import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
