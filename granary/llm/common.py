@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.operators.lineage import settled, shared_folder
+
 WS = r"[\x20\x09-\x0D]+"
 BATCH_ROWS, BATCH_BYTES = 1000, 1 << 24
 _shipped: set[str] = set()
@@ -21,12 +23,7 @@ def ready(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # a finished action's shuffle files go
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isEmpty():
-        named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        if not named and not spark.sparkContext.master.startswith("local["):
-            raise ValueError("on a cluster, spark.checkpoint.dir must name a shared folder")
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="granary-"))
+    shared_folder(spark)
     if spark.sparkContext.applicationId not in _shipped:  # executors need the package wherever the driver has it from
         _shipped.add(spark.sparkContext.applicationId)
         root, to = Path(__file__).resolve().parents[2], Path(tempfile.mkdtemp()) / "granary.zip"
@@ -76,14 +73,16 @@ def apart(small: DataFrame, key: str) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component = least reachable node) of the edges (a, b). Alternating large-star and small-star steps up to their fixed point, where every edge leads to the least node of its component; every round is checkpointed, so that lost executors cost one round. Groups are only reduced by min, never collected; the minima go through an exchange of their own, so that the joins can split the rows of a hub."""
+    """(node, component = least reachable node) of the edges (a, b). Alternating large-star and small-star steps up to their fixed point, where every edge leads to the least node of its component; every round is written and read again, so that lost executors cost one round and estimates stay real sizes. Groups are only reduced by min, never collected; the minima go through an exchange of their own, so that the joins can split the rows of a hub."""
     both = lambda e: e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = lambda e, own: apart(e.groupBy("a").agg((F.least(F.min("b"), F.col("a")) if own else F.min("b")).alias("m")), "a")
-    e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    e = settled(e)
     seen, now = None, (0,)
     while now != seen:
         seen, n = now, both(e)
         large = n.where("b > a").join(least(n, True), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        e = large.join(least(large, False), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("s")).select("s.*").where("a <> b").distinct().checkpoint()
+        small = large.join(least(large, False), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("s")).select("s.*").where("a <> b").distinct()
+        e = settled(small, e)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
     return e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionAll(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from granary.llm.common import apart, arrow_map, components, ready, release
 from granary.llm.shingles import M1, digest, mix, shingle_set
+from granary.operators.lineage import settled
 
 K, PERCENT = 4, 85
 TILE, BITS, LEAF, FAN = 256, 4096, 8, 8
@@ -155,7 +156,7 @@ def _distinct_nodes(docs: DataFrame, k: int) -> tuple[DataFrame, int]:
     """The nodes, and the seed under which no two sets have the same digest: of sets with equal digests, the other digest and the size are equal, too."""
     seed = 0
     while True:
-        nodes = _nodes(docs, k, seed).checkpoint()
+        nodes = settled(_nodes(docs, k, seed))
         said = nodes.where("node is not null").groupBy("node").agg(F.min(F.struct("n", "check")).alias("x"), F.max(F.struct("n", "check")).alias("y"))
         if said.where("x <> y").isEmpty():
             return nodes.drop("check"), seed
@@ -224,7 +225,7 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int =
     ready(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     nodes, seed = _distinct_nodes(docs, k)
-    blocks = components(_candidates(docs, k, percent, seed)).withColumnRenamed("component", "block").checkpoint()
+    blocks = settled(components(_candidates(docs, k, percent, seed)).withColumnRenamed("component", "block"))
     release(docs.sparkSession)
     one = nodes.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("x")).select("node", "x.*")
 
@@ -242,11 +243,11 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int =
     dealt = blocks.join(apart(tiles, "block"), "block").withColumn("at", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     everywhere = F.when(F.col("node") == F.col("block"), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("at"))
     met = sets(dealt).select("block", F.explode(everywhere).alias("i"), F.lit(0).alias("j"), F.lit(None).cast("boolean").alias("left"), F.col("node").alias("known"), "node", "set")
-    links = _joined(met, percent).checkpoint()
+    links = settled(_joined(met, percent))
     found = components(links)
     many = dealt.where("tiles > 1").join(apart(found, "node"), "node", "left").select("block", "node", F.coalesce("component", "node").alias("known"))
     most = many.groupBy("block", "known").agg(F.count("*").alias("n")).groupBy("block").agg(F.max_by("known", F.struct("n", "known")).alias("most"), F.max("n").alias("inner"), F.sum("n").alias("all")).where("inner < all")
-    rest = many.join(apart(most, "block"), "block").withColumns({"left": F.col("known") != F.col("most"), "m": F.ceil(F.col("inner") / tile).cast("int"), "u": F.ceil((F.col("all") - F.col("inner")) / tile).cast("int")}).checkpoint()
+    rest = settled(many.join(apart(most, "block"), "block").withColumns({"left": F.col("known") != F.col("most"), "m": F.ceil(F.col("inner") / tile).cast("int"), "u": F.ceil((F.col("all") - F.col("inner")) / tile).cast("int")}))
     if not rest.isEmpty():
         rest = rest.withColumn("at", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("left"), F.col("u")).otherwise(F.col("m"))).cast("int"))
         at, none = F.col("at"), F.lit(None).cast("boolean")
