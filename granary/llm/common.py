@@ -67,6 +67,11 @@ def ws_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WS, -1), "")
 
 
+def ascii_lower(text: Column) -> Column:
+    """A-Z lower-cased, all else as it is. Where all is ASCII, that is what lower() does, in much less time."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+
 def apart(small: DataFrame, key: str) -> DataFrame:
     """The small side of a join on a long key, so written that Spark does not see that it is dealt by the key already: it then deals out both sides for the join, and can split the rows of a hot key on the other side."""
     return small.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))

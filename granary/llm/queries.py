@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import chat, decontam, html, langid, licenses, mixing, ngram_join, pii, quality, suffix
+from granary.llm import chat, decontam, html, langid, licenses, mixing, ngram_join, pii, quality, resample, suffix
 from granary.llm.common import table
 
 
@@ -49,5 +49,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op3_pii, op4_source_mixing, op5_ngram_jaccard_join, op6_license_scan, op7_quality_rules, op8_suffix_dedup, op9_chat_format, op10_decontamination)}
-SQL = {"op4_source_mixing": mixing.SQL, "op5_ngram_jaccard_join": ngram_join.SQL, "op8_suffix_dedup": suffix.SQL, "op9_chat_format": chat.SQL, "op10_decontamination": decontam.SQL}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op3_pii, op4_source_mixing, op5_ngram_jaccard_join, op6_license_scan, op7_quality_rules, op8_suffix_dedup, op9_chat_format, op10_decontamination, op11_importance_resampling)}
+SQL = {"op4_source_mixing": mixing.SQL, "op5_ngram_jaccard_join": ngram_join.SQL, "op8_suffix_dedup": suffix.SQL, "op9_chat_format": chat.SQL, "op10_decontamination": decontam.SQL, "op11_importance_resampling": resample.SQL}
