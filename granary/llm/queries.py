@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import chat, decontam, html, langid, licenses, mixing, ngram_join, packing, pii, quality, resample, suffix
+from granary.llm import chat, collocations, decontam, html, langid, licenses, mixing, ngram_join, packing, pii, quality, resample, suffix
 from granary.llm.common import table
 
 
@@ -57,5 +57,9 @@ def op12_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op3_pii, op4_source_mixing, op5_ngram_jaccard_join, op6_license_scan, op7_quality_rules, op8_suffix_dedup, op9_chat_format, op10_decontamination, op11_importance_resampling, op12_minimum_bin_slack)}
-SQL = {"op4_source_mixing": mixing.SQL, "op5_ngram_jaccard_join": ngram_join.SQL, "op8_suffix_dedup": suffix.SQL, "op9_chat_format": chat.SQL, "op10_decontamination": decontam.SQL, "op11_importance_resampling": resample.SQL}
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op3_pii, op4_source_mixing, op5_ngram_jaccard_join, op6_license_scan, op7_quality_rules, op8_suffix_dedup, op9_chat_format, op10_decontamination, op11_importance_resampling, op12_minimum_bin_slack, op13_phrase_collocations)}
+SQL = {"op4_source_mixing": mixing.SQL, "op5_ngram_jaccard_join": ngram_join.SQL, "op8_suffix_dedup": suffix.SQL, "op9_chat_format": chat.SQL, "op10_decontamination": decontam.SQL, "op11_importance_resampling": resample.SQL, "op13_phrase_collocations": collocations.SQL}
