@@ -23,11 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settled(df: DataFrame, *gone: DataFrame) -> DataFrame:
-    """The rows of df from a table in the shared folder: a lost executor costs no recomputation, and estimates are real sizes. ``gone``: settled tables that only df needed; they are deleted."""
+    """The rows of df from a table in the shared folder: a lost executor costs no recomputation, and estimates are real sizes. ``gone``: settled tables that only df needed; they are deleted. Spark deletes the shuffle files of the write once the driver's collector has found its plan, so that is asked for: on a long job they would fill the disks."""
     spark = df.sparkSession
     at = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(at)
     discard(*gone)
+    spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(at)
     out.__dict__["settled_at"] = at
     return out
