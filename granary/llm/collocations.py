@@ -1,10 +1,10 @@
 """Phrase collocation mining.
 
 1. Candidates, level by level: mappers emit the keys of k-word phrases whose first and last k-1 words passed the level before, with their number in the batch; keys whose sum reaches the threshold are candidates. A sum over a 64-bit key is never below a phrase's count, so no frequent phrase is lost. What passed before is known to mappers by a filter of fixed size (false hits only add keys, which are counted and go).
-2. A minimal perfect hash over the candidates of all levels, in blocks of bounded size, each built in a task. Mappers look windows up, verify the stored key, bincount the slots in numpy arrays, and check the second key of every hit against the first seen; the arrays are summed in a tree.
+2. A minimal perfect hash over the candidates of all levels, in blocks of bounded size, each built in a task. Mappers look windows up, verify the stored key, bincount the slots in numpy arrays and add up a second key of each phrase; the arrays are summed in a tree.
 3. Phrases are put together from their first and last k-1 words, and carry the counts of all their beginnings and ends, so that every cut is read from their slots.
 
-Keys of two different phrases that meet in a candidate are noticed by the second key; the run is then made again with another seed.
+Two different phrases that meet in a candidate's key are noticed by the sum of the second keys; the run is then made again with another seed.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 from itertools import chain, count
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -140,7 +140,7 @@ def _mapped(docs: DataFrame, schema: str, make: Callable) -> DataFrame:
 
 
 def candidates(docs: DataFrame, k: int, least: int, passed, seed: int) -> DataFrame:
-    """(key): keys of k-word phrases that may be there ``least`` times. ``passed``: the broadcast filter of shorter ones."""
+    """(key, part): keys of k-word phrases that may be there ``least`` times, and the last partition that has each. ``passed``: the broadcast filter of shorter ones."""
 
     def make():
         def step(b):
@@ -157,7 +157,7 @@ def candidates(docs: DataFrame, k: int, least: int, passed, seed: int) -> DataFr
 
         return step, lambda: ()
 
-    return _mapped(docs, "key long, n long", make).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
+    return _mapped(docs, "key long, n long", make).withColumn("part", F.spark_partition_id()).groupBy("key").agg(F.sum("n").alias("n"), F.max("part").alias("part")).where(F.col("n") >= least).select("key", "part")
 
 
 def filter_bits(keys: DataFrame, bits: np.ndarray) -> np.ndarray:
@@ -173,36 +173,36 @@ def filter_bits(keys: DataFrame, bits: np.ndarray) -> np.ndarray:
 
     at = keys.select(F.shiftrightunsigned("key", 64 - FILTER).alias("at")).distinct().withColumn("chunk", F.shiftright("at", 16))
     bits = bits.copy()
-    for r in at.groupBy("chunk").applyInArrow(chunk, "chunk long, bits binary").toLocalIterator():
+    for r in at.groupBy("chunk").applyInArrow(chunk, "chunk long, bits binary").collect():
         bits[r.chunk << 13 : (r.chunk + 1) << 13] |= np.frombuffer(r.bits, np.uint8)
     return bits
 
 
 def hashed_blocks(keys: DataFrame, blocks: int) -> DataFrame:
-    """(block, hash): for each block the perfect hash of its keys and the keys by slot."""
+    """(block, hash): for each block the perfect hash of its keys, and by slot the keys and their partitions."""
 
     def build(group):
         import pyarrow as pa
 
         keys = group["key"].to_numpy().view(np.uint64)
         h = PerfectHash(keys)
-        stored = np.empty_like(keys)
-        stored[h.slots(keys)] = keys
-        return pa.table({"block": pa.array([group["block"][0].as_py()], pa.int64()), "hash": pa.array([pickle.dumps((h, stored))], pa.binary())})
+        stored, parts, slots = np.empty_like(keys), np.empty(len(keys), np.int32), h.slots(keys)
+        stored[slots], parts[slots] = keys, group["part"].to_numpy()
+        return pa.table({"block": pa.array([group["block"][0].as_py()], pa.int64()), "hash": pa.array([pickle.dumps((h, stored, parts))], pa.binary())})
 
     return keys.withColumn("block", F.shiftrightunsigned("key", 20) % blocks).groupBy("block").applyInArrow(build, "block long, hash binary")
 
 
-def counted(docs: DataFrame, blocks: int, sent, passed, longest: int, seed: int, first: bool) -> DataFrame:
-    """One pass over the texts for the blocks in ``sent``. Rows of three kinds: words of a language (lang, n; in the first pass); what a slot stands for (slot, k, key, check, head, tail, and of words the text and lang), told of once a task, and again should another phrase have its key; counts of a chunk of slots (chunk, counts)."""
+def counted(docs: DataFrame, blocks: int, sent, passed, longest: int, seed: int, first: bool, everyone: bool) -> DataFrame:
+    """One pass over the texts for the blocks in ``sent``. Rows of three kinds: words of a language (lang, n; in the first pass); what a slot stands for (slot, k, key, check, head, tail, and of words the text and lang), told by the task of the slot's partition, or by everyone that has it; for a chunk of slots their counts, and the sums of their check keys (chunk, counts)."""
 
     def make():
         from pyspark import TaskContext
 
+        part = TaskContext.get().partitionId()
         held = {b: pickle.loads(x) for b, x in sent.value.items()}
-        sums = {b: np.zeros(len(keys), np.int64) for b, (_, keys) in held.items()}
-        seen = {b: np.zeros(len(keys), bool) for b, (_, keys) in held.items()}
-        checks = {b: np.zeros(len(keys), np.uint64) for b, (_, keys) in held.items()}
+        sums = {b: np.zeros((2, len(keys)), np.uint64) for b, (_, keys, _) in held.items()}
+        wanted = {b: np.ones(len(parts), bool) if everyone else parts == part for b, (_, _, parts) in held.items()}
         words: dict[str, int] = {}
 
         def step(batch):
@@ -214,39 +214,37 @@ def counted(docs: DataFrame, blocks: int, sent, passed, longest: int, seed: int,
                     at = at[in_filter(passed.value, w.key(k)[at])]
                     keys = w.key(k)[at]
                     of = (keys >> np.uint64(20)) % np.uint64(blocks)
-                    for b, (h, stored) in held.items():
+                    for b, (h, stored, _) in held.items():
                         here = np.flatnonzero(of == b)
                         slot = h.slots(keys[here])
                         real = slot >= 0
                         real[real] = stored[slot[real]] == keys[here[real]]
                         slot, places = slot[real], at[here[real]]
-                        sums[b] += np.bincount(slot, minlength=len(stored))
                         check = w.key(k, 1)[places]
+                        sums[b][0] += np.bincount(slot, minlength=len(stored)).astype(np.uint64)
+                        np.add.at(sums[b][1], slot, check)
                         new, once = np.unique(slot, return_index=True)
-                        once = once[~seen[b][new]]
-                        checks[b][slot[once]] = check[once]
-                        seen[b][slot[once]] = True
-                        told = np.concatenate([once, np.flatnonzero(checks[b][slot] != check)])
+                        told = once[wanted[b][new]]
+                        wanted[b][slot[told]] = False
                         p, n = places[told], len(told)
                         out["block"] += [b] * n
                         out["slot"] += slot[told].tolist()
                         out["k"] += [k] * n
                         out["key"] += stored[slot[told]].view(np.int64).tolist()
                         out["check"] += check[told].view(np.int64).tolist()
-                        out["head"] += (w.key(k - 1)[p].view(np.int64).tolist() if k > 1 else [None] * n)
-                        out["tail"] += (w.key(k - 1)[p + 1].view(np.int64).tolist() if k > 1 else [None] * n)
-                        out["text"] += ([w.data[w.first[i] : w.end[i]].decode("utf-8", "replace") for i in p] if k == 1 else [None] * n)
+                        out["head"] += w.key(k - 1)[p].view(np.int64).tolist() if k > 1 else [None] * n
+                        out["tail"] += w.key(k - 1)[p + 1].view(np.int64).tolist() if k > 1 else [None] * n
+                        out["text"] += [w.data[w.first[i] : w.end[i]].decode("utf-8", "replace") for i in p] if k == 1 else [None] * n
                         out["lang"] += [lang if k == 1 else None] * n
             return out
 
         def last():
             if first:
                 yield {"lang": list(words), "n": list(words.values())}
-            part = TaskContext.get().partitionId()
             for b, total in sums.items():
-                for c in range(0, len(total), CHUNK):
-                    x = total[c : c + CHUNK]
-                    if x.any():
+                for c in range(0, total.shape[1], CHUNK):
+                    x = total[:, c : c + CHUNK]
+                    if x[0].any():
                         yield {"block": [b], "chunk": [c // CHUNK], "part": [part], "counts": [x.tobytes()]}
 
         return step, last
@@ -255,12 +253,12 @@ def counted(docs: DataFrame, blocks: int, sent, passed, longest: int, seed: int,
 
 
 def tree_sum(arrays: DataFrame) -> DataFrame:
-    """(block, chunk, part, counts) -> block, slot, f: at most FAN arrays are added up in a task, level by level."""
+    """(block, chunk, part, counts) -> block, slot, f, and the sum of check keys: at most FAN arrays are added up in a task, level by level."""
 
     def add(group):
         import pyarrow as pa
 
-        total = sum(np.frombuffer(x, np.int64) for x in group["counts"].to_pylist())
+        total = np.sum([np.frombuffer(x, np.uint64) for x in group["counts"].to_pylist()], axis=0, dtype=np.uint64)
         return pa.table({c: group[c][:1] for c in ("block", "chunk", "part")} | {"counts": pa.array([total.tobytes()], pa.binary())})
 
     most = arrays.agg(F.max("part")).first()[0] or 0
@@ -275,17 +273,16 @@ def tree_sum(arrays: DataFrame) -> DataFrame:
 
         for b in found:
             for block, chunk, x in zip(*(b.column(c).to_pylist() for c in ("block", "chunk", "counts"))):
-                f = np.frombuffer(x, np.int64)
+                f, checks = np.frombuffer(x, np.int64).reshape(2, -1)
                 slot = np.flatnonzero(f)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), block)), pa.array(slot + chunk * CHUNK), pa.array(f[slot])], names=["block", "slot", "f"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), block)), pa.array(slot + chunk * CHUNK), pa.array(f[slot]), pa.array(checks[slot])], names=["block", "slot", "f", "checks"])
 
-    return arrays.select("block", "chunk", "counts").mapInArrow(rows, "block long, slot long, f long")
+    return arrays.select("block", "chunk", "counts").mapInArrow(rows, "block long, slot long, f long, checks long")
 
 
 def frequent(docs: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, n): words of each language; (key, k, f, head, tail, text, lang): the phrases that are there ``least`` times, under a seed for which no two phrases of the corpus meet in a candidate's key."""
-    spark = docs.sparkSession
-    send = spark.sparkContext.broadcast
+    """(lang, n): words of each language; (key, k, f, head, tail, text, lang): the phrases that are there ``least`` times, under a seed for which no two phrases of the corpus meet in a candidate's key: else the sum of a slot's check keys is not f times its phrase's. Should the texts be parted anew between passes, so that a slot's partition does not have it, the pass is made again and every task tells what it has."""
+    send = docs.sparkSession.sparkContext.broadcast
     for seed in count():
         bits, levels, passed = np.zeros(1 << (FILTER - 3), np.uint8), [], None
         for k in range(1, longest + 1):
@@ -297,25 +294,34 @@ def frequent(docs: DataFrame, longest: int, least: int) -> tuple[DataFrame, Data
         keys = levels[0]
         for x in levels[1:]:
             keys = keys.unionAll(x)
-        keys = keys.distinct()
+        keys = keys.groupBy("key").agg(F.max("part").alias("part"))
         blocks = max(1, -(-sum(x.count() for x in levels) // BLOCK))
-        hashes, found = settled(hashed_blocks(keys, blocks)), []
-        for b in range(0, blocks, PASS):
-            sent = send({r.block: bytes(r.hash) for r in hashes.where(F.col("block").between(b, b + PASS - 1)).collect()})
-            found.append(settled(counted(docs, blocks, sent, passed, longest, seed, b == 0)))
-            sent.destroy()
+        hashes = settled(hashed_blocks(keys, blocks))
+        for everyone in (False, True):
+            found = []
+            for b in range(0, blocks, PASS):
+                sent = send({r.block: bytes(r.hash) for r in hashes.where(F.col("block").between(b, b + PASS - 1)).collect()})
+                found.append(settled(counted(docs, blocks, sent, passed, longest, seed, b == 0, everyone)))
+                sent.destroy()
+            rows = found[0]
+            for x in found[1:]:
+                rows = rows.unionAll(x)
+            told = rows.where("slot is not null").groupBy("block", "slot").agg(*[F.min(c).alias(c) for c in ("k", "key", "check", "head", "tail", "text", "lang")])
+            phrases = settled(tree_sum(rows.where("chunk is not null").select("block", "chunk", "part", "counts")).where(F.col("f") >= least).join(told, ["block", "slot"], "left"))
+            if phrases.where("key is null").isEmpty():
+                break
+            discard(phrases, *found)
         passed.destroy()
         discard(hashes, *levels)
-        rows = found[0]
-        for x in found[1:]:
-            rows = rows.unionAll(x)
-        told = rows.where("slot is not null").groupBy("block", "slot").agg(*[F.min(c).alias(c) for c in ("k", "key", "head", "tail", "text", "lang")], F.min("check").alias("check"), (F.min("check") != F.max("check")).alias("met"))
-        phrases = settled(tree_sum(rows.where("chunk is not null").select("block", "chunk", "part", "counts")).where(F.col("f") >= least).join(told, ["block", "slot"]))
-        if phrases.where("met").isEmpty():
+        if phrases.where(_modulo(F.col("f").cast("decimal(17,0)") * F.col("check").cast("decimal(20,0)")) != _modulo(F.col("checks").cast("decimal(20,0)"))).isEmpty():
             return rows.where("n is not null").groupBy("lang").agg(F.sum("n").alias("n")), phrases.select("key", "k", "f", "head", "tail", "text", "lang")
         discard(phrases, *found)
 
 
+def _modulo(x: Column) -> Column:
+    return F.pmod(x.cast("decimal(38,0)"), F.lit(str(1 << 64)).cast("decimal(38,0)"))
+
+
 def collocations(docs: DataFrame, *, longest: int = LONGEST, least: int = LEAST, top: int = TOP, cover: int = COVER) -> DataFrame:
     """docs (text, lang) -> lang, rank, phrase, a, l, r, n, score: of each language the ``top`` phrases of 2 to ``longest`` words by score.
 
@@ -351,7 +357,8 @@ def collocations(docs: DataFrame, *, longest: int = LONGEST, least: int = LEAST,
 
 SQL = r"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS p FROM documents),
+-
+]')) AS p FROM documents),
 w AS (SELECT lang, regexp_extract_all(p, '[^ 	]+') AS w FROM p),
 n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1),
 f AS MATERIALIZED (SELECT lang, k, g, count(*)::BIGINT AS f FROM (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g FROM w, (SELECT unnest(range(1, 6)) AS k)) GROUP BY ALL HAVING count(*) >= 100),
