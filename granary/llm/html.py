@@ -1,6 +1,8 @@
 """Main-text extraction: parser events, text-to-tag ratio per line, Gaussian smoothing, threshold clustering of the lines into a content region.
 
-The clusters decide: lines whose smoothed ratio is in the upper cluster are content lines, and the element that holds most of their text is the content region. Structure settles only what the ratio leaves open: short lines of the region (headings, list items) stay, and the elements that HTML defines as no main content (nav, footer, aside, form, ...) go unless the content lines themselves are in them. Names of classes and ids are not looked at.
+The clusters decide: lines whose smoothed ratio is in the upper cluster are content lines, and the element that holds most of their text is the content region. Structure settles only what the ratio leaves open: short lines of the region (headings, list items) stay, and the elements that HTML defines as no main content (nav, footer, aside, form, ...) go unless the content lines themselves are in them. Reader comments and advertisements are told by repeated structure, links and labels (see ``_boxes``). Names of classes and ids are not looked at.
+
+A page is read as browsers read it where end tags are left out; a hidden element without its end tag (a button, a list of choices) hides nothing from the next block on.
 """
 
 from __future__ import annotations
@@ -27,6 +29,18 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SIGMA, RADIUS, MAJORITY, LINKS = 1.0, 2, 0.6, 3
 #: Articles are the region already with this share of the lines whose ratio is at least this part of the threshold: the ratio hardly tells short lines apart, so structure breaks the tie.
 ARTICLE, NEAR = 0.25, 0.25
+#: What may stand in a head: any other start tag, or text, ends it.
+META = set("base head link meta noscript object script style template title".split())
+#: Start tags that no button or list of choices can hold: where its own end tag never comes, what they begin is text of the page.
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+#: Reader comments are equal boxes, each with a short line of a time, or with the same short last line (as a link to reply): how long these lines may be.
+STAMPED, REPLY = 60, 25
+STAMP = re.compile(r"\b\d{1,2}[:.h]\d{2}\b|\b\d{4}-\d{2}-\d{2}\b|\b(?:19|20)\d\d\b")
+#: Lines with which boxes say that they are advertisements.
+LABELS = {"ad", "ads", "advertisement", "advertorial", "sponsored", "sponsored content", "promoted", "anzeige", "werbung", "publicité", "annonce", "sponsorisé", "publicidad", "anuncio", "patrocinado"}
+TOKEN = re.compile(r"<!--|<(script|style)\b", re.I)
+RAW_END = {t: re.compile(rf"</{t}\b", re.I) for t in ("script", "style")}
+QUOTED = re.compile(r"<[a-zA-Z][^<>]*=\s*([\"'])[^\"'<>]*\Z")
 UNENDED = re.compile(r"<(?:[/!?a-zA-Z]|$)")
 
 
@@ -37,23 +51,38 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines, self.text, self.tags, self.linked = [], [], 0, 0
         self.open, self.count, self.hard, self.links = [("", 0, False)], {}, 0, 0
+        self.veiled, self.veil, self.past, self.lifted = [], 0, False, []  # text in hidden elements, their number, whether a block began in the one that is open, and which had no end tag
+        self.name, self.stamped, self.headed = [""], [False], [False]
         self.parent, self.soft, self.whole, self.menu, self.way = [0], [False], [-1], [0], [False]
 
     def flush(self):
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, self.open[-1][1], self.linked))
-        self.text, self.tags, self.linked = [], 0, 0
+            self.lines.append((text, self.tags, self.open[-1][1], self.linked, -1))
+        if self.hard and self.past and (text := " ".join("".join(self.veiled).split())):
+            self.lines.append((text, self.tags, self.open[-1][1], self.linked, self.veil))
+        self.text, self.veiled, self.tags, self.linked = [], [], 0, 0
 
-    def pop(self):
+    def pop(self, ended=False):
         tag, _, hard = self.open.pop()
         self.count[tag] -= 1
         self.hard -= hard
+        if hard and not self.hard and not ended:
+            self.lifted.append(self.veil)
         self.links -= tag == "a"
 
+    def end_head(self):
+        while self.count.get("head"):
+            self.pop()
+
     def handle_starttag(self, tag, attrs):
+        if self.count.get("head") and (tag == "body" or tag not in META and self.open[-1][0] in ("head", "title")):
+            self.end_head()
+        if tag == "button" and self.open[-1][0] == "button" or self.count.get("select") and tag in ("button", "input", "select", "textarea"):
+            self.end({tag, "select"})
         if tag in BLOCK:
             self.flush()
+            self.past = self.hard > 0
             self.end({"p"})
         if tag in ENDS:
             self.end(ENDS[tag])
@@ -70,10 +99,17 @@ class Lines(HTMLParser):
             self.parent.append(node)
             self.soft.append(soft)
             self.whole.append(outer if outer >= 0 or tag not in WHOLE else len(self.whole))
+            self.name.append(tag)
+            self.stamped.append(False)
+            self.headed.append(False)
             self.menu.append(0)
             self.way.append(tag in ("menu", "nav") or role.lower().strip() in ("menu", "menubar", "navigation"))
             node = len(self.parent) - 1
+        self.stamped[node] |= tag == "time"
+        self.headed[node] |= tag in HEADINGS
         hard = tag in HARD
+        if hard and not self.hard:
+            self.veil, self.past = self.veil + 1, False
         self.open.append((tag, node, hard))
         self.count[tag] = self.count.get(tag, 0) + 1
         self.hard += hard
@@ -104,13 +140,24 @@ class Lines(HTMLParser):
         if self.count.get(tag):
             while self.open[-1][0] != tag:
                 self.pop()
-            self.pop()
+            self.pop(True)
 
     def handle_data(self, data):
-        if not self.hard:
+        if self.open[-1][0] == "head" and data.strip():
+            self.end_head()
+        if self.hard:
+            self.veiled.append(data)
+        else:
             self.text.append(data)
             self.linked += len(data.strip()) if self.links else 0
 
+    def seen(self):
+        """The lines of the page. What stands after the first block in an element that hides its text, but has no end tag, is the page's."""
+        while len(self.open) > 1:
+            self.pop()
+        lifted = {-1, *self.lifted}
+        return [x[:4] for x in self.lines if x[4] in lifted]
+
 
 def smoothed(ratios: list[float]) -> list[float]:
     kernel = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-RADIUS, RADIUS + 1)]
@@ -144,9 +191,23 @@ def _first(v: list[float], cut: float) -> int:
 
 
 def _ended(html: str) -> str:
-    """Without a comment or tag that is not ended: it reaches to the end of the page, and the parser would look for its end again and again."""
-    at = html.find("<!--", html.rfind("-->") + 1)
-    html = html if at < 0 else html[:at]
+    """Without a comment or tag that is not ended: it reaches to the end of the page, and the parser would look for its end again and again. What looks like a comment in a script, a style or the value of an attribute is none."""
+    at = 0
+    while m := TOKEN.search(html, at):
+        if m[1]:
+            end = RAW_END[m[1].lower()].search(html, m.end())
+            if not end:
+                return html
+            at = end.end()
+            continue
+        if (quote := QUOTED.search(html[html.rfind("<", at, m.start()) : m.start()]) if html.rfind("<", at, m.start()) >= 0 else None) and html.find(quote[1], m.end()) >= 0:
+            at = m.end()
+            continue
+        end = html.find("-->", m.start() + 2)
+        if end < 0:
+            html = html[: m.start()]
+            break
+        at = end + 3
     at = UNENDED.search(html, html.rfind(">") + 1)
     return html[: at.start()] if at else html
 
@@ -160,6 +221,7 @@ def main_text(html: str | None) -> str:
     p.feed(html)
     p.close()
     p.flush()
+    p.lines = p.seen()
     if not p.lines:
         return ""
     n, aside = len(p.parent), [False]
@@ -181,6 +243,9 @@ def main_text(html: str | None) -> str:
     gone = [False] * n
     for k in range(1, n):
         gone[k] = gone[p.parent[k]] or p.soft[k] and (content[k] < least or p.way[k])
+    boxed = _boxes(p, found, content, every, linked)
+    for k in range(1, n):
+        gone[k] = gone[k] or gone[p.parent[k]] or k in boxed
     kept = [x for x in found if not gone[x[2]]]
     held: dict[int, int] = {}
     near = [(len(x[0]), p.whole[x[2]]) for v, x in zip(s, found) if v >= NEAR * cut and not gone[x[2]]]
@@ -203,6 +268,38 @@ def main_text(html: str | None) -> str:
     return "\n".join(x[0] for x in kept if where[id(x)] or 2 * own_content[x[2]] >= own[x[2]] or x[2] in above and 2 * x[3] < len(x[0]) or inside[x[2]] and not _menu(p, x[2], content, every, linked))
 
 
+def _boxes(p: Lines, found: list, content: list[int], every: list[int], linked: list[int]) -> set[int]:
+    """Containers of reader comments and advertisements, told by structure: equal boxes beside each other, all without headings and of two lines or more, all with a time or all with the same short last line; what says that it is an advertisement, and a box that is one link. None that has most of the content."""
+    n = len(p.parent)
+    lines, low, high, stamped, headed = [0] * n, [len(found)] * n, [-1] * n, list(p.stamped), list(p.headed)
+    for i, (text, _, k, _) in enumerate(found):
+        stamped[k] |= len(text) <= STAMPED and bool(STAMP.search(text))
+        lines[k], low[k], high[k] = lines[k] + 1, min(low[k], i), i
+    for k in range(n - 1, 0, -1):  # children come after their parents
+        up = p.parent[k]
+        stamped[up], headed[up] = stamped[up] or stamped[k], headed[up] or headed[k]
+        lines[up], low[up], high[up] = lines[up] + lines[k], min(low[up], low[k]), max(high[up], high[k])
+    first = [found[i][0] if i < len(found) else "" for i in low]
+    last = [found[i][0] if i >= 0 else "" for i in high]
+    most, out, alike = content[0] / 2, set(), {}
+    for k in range(1, n):
+        if lines[k]:
+            alike.setdefault((p.parent[k], p.name[k]), []).append(k)
+        if lines[k] and content[k] < most and (first[k].lower().strip(" :") in LABELS or p.name[k] in ("div", "section") and lines[k] == 1 and p.menu[k] == 1 and linked[k] >= 0.9 * every[k] and content[k] < NEAR * most):
+            out.add(k)
+    for (parent, _), items in alike.items():
+        said = sum(content[k] for k in items)
+        if len(items) < 2 or said > most or not all(lines[k] > 1 and not headed[k] for k in items):
+            continue
+        same = {last[k] for k in items}
+        if all(stamped[k] for k in items) or len(same) == 1 and len(last[items[0]]) <= REPLY:
+            out.update(items)
+            whole = sum(every[k] for k in items)
+            if parent and every[parent] - whole <= 0.3 * whole and content[parent] <= most:
+                out.add(parent)
+    return out
+
+
 def _menu(p: Lines, node: int, content: list[int], every: list[int], linked: list[int]) -> bool:
     """A list of nothing but links, none of them a content line."""
     return not content[node] and p.menu[node] >= LINKS and 10 * linked[node] >= 9 * every[node]

@@ -603,3 +603,58 @@ def test_hot_passages_are_parted(spark):
     want = brute_removed(docs)
     got = suffix.dedup(spark.createDataFrame([(str(d), t) for d, t in docs], "doc_id string, text string").withColumns({"oid": F.lit(1), "key": F.lit(2)}), shard=2, held=100).collect()
     assert {int(r.doc_id): (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+
+
+PROSE = "This is a paragraph of the article with many words, so that the ratio of its text to its tags is high. "
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>T</title><body><article>{}</article>",
+        "<html><head><title>T<body><article>{}</article>",
+        "<head><meta charset=utf-8><article>{}</article>",
+        "<body><button>Share<article>{}</article></body>",
+        "<body><select><option>a<option>b<div>{}</div>",
+        "<body><canvas>no canvas<div>{}</div>",
+        "<script>var s = '<!--';</script><article>{}</article>",
+        "<style>/* <!-- */</style><article>{}</article>",
+        "<img alt='<!--'><article>{}</article><p title='-'>",
+        "<article>{}</article><!-- a comment without end <p>gone</p>",
+    ],
+)
+def test_left_out_end_tags_lose_no_page(page):
+    assert html.main_text(page.format(f"<p>{PROSE}</p><p>{PROSE}</p>")) == "\n".join([PROSE.strip()] * 2)
+
+
+def test_hidden_elements_with_end_tags_stay_hidden():
+    page = f"<body><button><div>Share</div></button><select><option>a</select><article><p>{PROSE}</p><p>{PROSE}<button>Copy</button></p></article></body>"
+    assert html.main_text(page) == "\n".join([PROSE.strip()] * 2)
+
+
+COMMENTS = {
+    "times": "<div class=x><h3>Two remarks</h3><div><b>Ann</b> 12:30<p>I like this text very much, it is great.</p></div><div><b>Bob</b> 12:35<p>I do not like it, and here is why, dear writer.</p></div></div>",
+    "replies": "<section><div><p>Ann<p>I like this text very much indeed.<p><a href=r>Reply</a></div><div><p>Bob<p>Not so good, I would say.<p><a href=r>Reply</a></div></section>",
+    "label": "<div><p>Anzeige</p><p>Buy these wonderful shoes now at half price, today only.</p></div>",
+    "link": "<div><a href=x>Buy these wonderful shoes now</a></div>",
+}
+
+
+@pytest.mark.parametrize("inside", [False, True])
+@pytest.mark.parametrize("name", COMMENTS)
+def test_comments_and_advertisements_by_structure(name, inside):
+    text = f"<h1>Title</h1><p>{PROSE * 3}</p><p>{PROSE * 2}</p>"
+    page = f"<body><main>{text}{COMMENTS[name]}</main></body>" if inside else f"<body><div>{text}</div>{COMMENTS[name]}</body>"
+    assert html.main_text(page) == "\n".join(["Title", (PROSE * 3).strip(), (PROSE * 2).strip()])
+
+
+def test_sections_of_an_article_are_no_comments():
+    page = "<body><article><h1>T</h1>" + "".join(f"<section><h2>Part {i}</h2><p>{PROSE}</p><p>In 2019 it was so.</p></section>" for i in range(3)) + "</article></body>"
+    assert html.main_text(page).count("Part") == 3 and html.main_text(page).count("2019") == 3
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20000 + "x", "<div>x" * 20000, "<button>" * 20000, "<head>" * 20000, "<script>" + "<!--" * 20000, "<p title='" + "<!--" * 2000 + "'>x"])
+def test_odd_pages_take_little_time(page):
+    began = time.time()
+    html.main_text(page)
+    assert time.time() - began < 5
