@@ -70,6 +70,7 @@ class Words:
     """The words of texts of one language: places, pieces, and for each length the keys of the phrases that start there."""
 
     def __init__(self, data: bytes, language: str, seed: int):
+        self.seed = seed
         b = np.frombuffer(data, np.uint8)
         kind = _KIND[b]
         at = np.flatnonzero(kind == 0)
@@ -318,6 +319,11 @@ def frequent(docs: DataFrame, longest: int, least: int) -> tuple[DataFrame, Data
         discard(phrases, *found)
 
 
+def score() -> Column:
+    """floor(1000 * a * n / (l * r)) of columns a, n, l, r (at most 10^17 each), without rounding."""
+    return F.expr("(cast(a as decimal(17,0)) * cast(n as decimal(17,0)) * 1000) div (cast(l as decimal(19,0)) * cast(r as decimal(18,0)))")
+
+
 def _modulo(x: Column) -> Column:
     return F.pmod(x.cast("decimal(38,0)"), F.lit(str(1 << 64)).cast("decimal(38,0)"))
 
@@ -349,7 +355,7 @@ def collocations(docs: DataFrame, *, longest: int = LONGEST, least: int = LEAST,
     for x in kept[1:]:
         rows = rows.unionAll(x)
     rows = rows.join(n, "lang").select("lang", "phrase", "a", "n", F.col("c.j").alias("j"), F.col("c.l").alias("l"), F.col("c.r").alias("r"))
-    rows = rows.withColumn("score", F.expr("(cast(a as decimal(17,0)) * 1000 * cast(n as decimal(17,0))) div (cast(l as decimal(19,0)) * cast(r as decimal(18,0)))"))
+    rows = rows.withColumn("score", score())
     cut = rows.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "j", "l", "r")).alias("c")).select("lang", "phrase", "a", "n", "c.l", "c.r", "c.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return cut.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -17,12 +17,16 @@ BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GRAMS, BUCKETS, MIN_WORDS, SHARE, SEED = 1, 10_000, 20, 10, "2024:"
 
 
+def _run(words: Column, k: int):
+    return lambda at: F.array_join(F.slice(words, at, k), " ")
+
+
 def grams(words: Column, n: int) -> Column:
     """All runs of 1 to n words, joined by a space, repeats kept."""
     runs = [words]
     for k in range(2, n + 1):
         starts = F.when(F.size(words) >= k, F.sequence(F.lit(1), F.size(words) - (k - 1))).otherwise(F.array().cast("array<int>"))
-        runs.append(F.transform(starts, lambda at, k=k: F.array_join(F.slice(words, at, k), " ")))
+        runs.append(F.transform(starts, _run(words, k)))
     return F.concat(*runs) if n > 1 else words
 
 
