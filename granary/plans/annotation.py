@@ -144,9 +144,9 @@ def subtype_rules(s, d):
     return A.rule_support(c, s.createDataFrame(_RULES, "token string, requires_any array<string>, contradicted_by array<string>"), "id")
 
 
-@query(f"WITH {_MEANS}, m AS (SELECT cluster, gene_id, round(s / 1e6::DOUBLE / n, 5) AS mean, round(k / n, 6) AS detected FROM gm JOIN z USING (cluster) WHERE gene_id <= 21) SELECT *, CASE WHEN max(mean) OVER w - min(mean) OVER w > 0 THEN round((mean - min(mean) OVER w) / (max(mean) OVER w - min(mean) OVER w), 5) ELSE 0.0::DOUBLE END AS scaled FROM m WINDOW w AS (PARTITION BY gene_id)")
+@query(f"WITH {_MEANS}, m AS (SELECT cluster, gene_id, round(s / 1e6::DOUBLE / n, 5) AS mean, round(k / n, 6) AS detected FROM gm JOIN z USING (cluster)) SELECT *, CASE WHEN max(mean) OVER w - min(mean) OVER w > 0 THEN round((mean - min(mean) OVER w) / (max(mean) OVER w - min(mean) OVER w), 5) ELSE 0.0::DOUBLE END AS scaled FROM m WINDOW w AS (PARTITION BY gene_id)")
 def marker_dotplot(s, d):
-    """All genes. Its SQL keeps gene_id <= 21, so it agrees only on those."""
+    """All genes."""
     return A.dotplot(_values(s, d), T.cells(s, d), T.genes(s, d), "cluster")
 
 

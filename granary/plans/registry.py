@@ -260,9 +260,9 @@ def tree_descendants(s, d):
     return consensus.subtree_sizes(_tree(s, d))
 
 
-@query("WITH v AS (SELECT o_custkey % 97 AS item, n_nationkey, n_regionkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey % 50 = 0) SELECT item, count(*)::BIGINT AS voters, CASE WHEN count(DISTINCT n_nationkey) = 1 THEN 'n' || min(n_nationkey) WHEN count(DISTINCT n_regionkey) = 1 THEN 'r' || min(n_regionkey) ELSE 'all' END AS lca, CASE WHEN count(DISTINCT n_nationkey) = 1 THEN 2 WHEN count(DISTINCT n_regionkey) = 1 THEN 1 ELSE 0 END AS level FROM v GROUP BY 1")
+@query("WITH v AS (SELECT o_custkey % 97 AS item, n_nationkey, n_regionkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) SELECT item, count(*)::BIGINT AS voters, CASE WHEN count(DISTINCT n_nationkey) = 1 THEN 'n' || min(n_nationkey) WHEN count(DISTINCT n_regionkey) = 1 THEN 'r' || min(n_regionkey) ELSE 'all' END AS lca, CASE WHEN count(DISTINCT n_nationkey) = 1 THEN 2 WHEN count(DISTINCT n_regionkey) = 1 THEN 1 ELSE 0 END AS level FROM v GROUP BY 1")
 def tree_lca(s, d):
-    """All orders vote. Its SQL reads one order in fifty, so it agrees only where it drops none."""
+    """All orders vote."""
     v = T.load(s, d, "orders").join(T.load(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select((F.col("o_custkey") % 97).alias("item"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("node_id"))
     return consensus.lowest_common(v, "item", _tree(s, d))
 
@@ -440,9 +440,9 @@ def state_fraction(s, d):
     return numeric.state_fraction(_markers(s, d), pr, "cluster")
 
 
-@query(f"WITH {LOGNORM}, {CELLS}, v AS (SELECT gene_id, cluster, round(value, 6) AS v FROM lognorm JOIN cells USING (cell_id) WHERE gene_id % 20 = 0), z AS (SELECT cluster, count(*)::BIGINT AS n1 FROM cells GROUP BY 1), nn AS (SELECT count(*)::BIGINT AS n FROM cells), vc AS (SELECT gene_id, v, count(*)::BIGINT AS t FROM v GROUP BY 1, 2), ar AS (SELECT gene_id, v, t, n, n - sum(t) OVER (PARTITION BY gene_id) AS zeros, n - sum(t) OVER (PARTITION BY gene_id) + sum(t) OVER (PARTITION BY gene_id ORDER BY v) - (t - 1) / 2.0::DOUBLE AS rank FROM vc, nn), ti AS (SELECT gene_id, (sum(t * t * t - t) + max(zeros::HUGEINT * zeros * zeros - zeros))::DOUBLE AS ties, max(zeros)::DOUBLE AS zeros FROM ar GROUP BY 1), sr AS (SELECT gene_id, cluster, sum(rank)::DOUBLE AS r, count(*) AS k FROM v JOIN ar USING (gene_id, v) GROUP BY 1, 2), u AS (SELECT cluster, gene_id, r + (n1 - k) * (zeros + 1) / 2 - n1 * (n1 + 1) / 2.0::DOUBLE AS u, n1::DOUBLE AS n1, (n - n1)::DOUBLE AS n2, n::DOUBLE AS n, ties FROM sr JOIN z USING (cluster) JOIN ti USING (gene_id), nn) SELECT cluster, gene_id, u, round((u - n1 * n2 / 2) / sqrt(n1 * n2 / 12 * (n + 1 - ties / (n * (n - 1)))), 4) AS z FROM u")
+@query(f"WITH {LOGNORM}, {CELLS}, v AS (SELECT gene_id, cluster, round(value, 6) AS v FROM lognorm JOIN cells USING (cell_id)), z AS (SELECT cluster, count(*)::BIGINT AS n1 FROM cells GROUP BY 1), nn AS (SELECT count(*)::BIGINT AS n FROM cells), vc AS (SELECT gene_id, v, count(*)::BIGINT AS t FROM v GROUP BY 1, 2), ar AS (SELECT gene_id, v, t, n, n - sum(t) OVER (PARTITION BY gene_id) AS zeros, n - sum(t) OVER (PARTITION BY gene_id) + sum(t) OVER (PARTITION BY gene_id ORDER BY v) - (t - 1) / 2.0::DOUBLE AS rank FROM vc, nn), ti AS (SELECT gene_id, (sum(t * t * t - t) + max(zeros::HUGEINT * zeros * zeros - zeros))::DOUBLE AS ties, max(zeros)::DOUBLE AS zeros FROM ar GROUP BY 1), sr AS (SELECT gene_id, cluster, sum(rank)::DOUBLE AS r, count(*) AS k FROM v JOIN ar USING (gene_id, v) GROUP BY 1, 2), u AS (SELECT cluster, gene_id, r + (n1 - k) * (zeros + 1) / 2 - n1 * (n1 + 1) / 2.0::DOUBLE AS u, n1::DOUBLE AS n1, (n - n1)::DOUBLE AS n2, n::DOUBLE AS n, ties FROM sr JOIN z USING (cluster) JOIN ti USING (gene_id), nn) SELECT cluster, gene_id, u, round((u - n1 * n2 / 2) / sqrt(n1 * n2 / 12 * (n + 1 - ties / (n * (n - 1)))), 4) AS z FROM u")
 def rank_sum_markers(s, d):
-    """All genes, all cells. Its SQL ranks one gene in twenty, so it agrees only on those."""
+    """All genes, all cells."""
     return numeric.rank_sum(_values(s, d).withColumn("value", F.round("value", 6)), T.cells(s, d), "cluster")
 
 
