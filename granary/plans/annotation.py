@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from granary.functions import expressions as X
 from granary.operators import annotation as A
-from granary.operators import consensus, metrics, numeric
+from granary.operators import consensus, graphs, metrics, numeric
+from granary.operators.lineage import settled
 from granary.plans.registry import _MARKERS, _MEANS, _TALLY, CELLS, COUNTS, LABELS, VOTERS, _markers, _values, _votes, query
 from granary.sources import tables as T
 
@@ -205,19 +204,20 @@ def linear_probabilities(s, d):
     return numeric.linear_probabilities(x, model, s.createDataFrame([("u", 0.1), ("v", -0.1)], "class string, b double"))
 
 
+def _graph(s, d, k=10):
+    return graphs.fuzzy(graphs.neighbours(T.load(s, d, "embeddings").select(F.col("vec_id").cast("long").alias("id"), "embedding"), k))
+
+
+@query()
+def approximate_neighbours(s, d):
+    """About the 15 nearest of every vector."""
+    return graphs.neighbours(T.load(s, d, "embeddings").select(F.col("vec_id").cast("long").alias("id"), "embedding"))
+
+
 @query()
 def neighbour_communities(s, d):
-    """Communities of the ten nearest neighbours of every vector."""
-    from granary.sources.tables import load
-
-    v = load(s, d, "embeddings").select(F.col("vec_id").cast("long").alias("id"), "embedding")
-    e = numeric.nearest(v, v, 10).select(F.col("id").alias("src"), F.col("neighbour").alias("dst"), (1 / (1 + F.col("distance"))).alias("weight"))
-    if s.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        folder = s.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        if not folder and not s.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        s.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp())
-    return numeric.label_propagation(e)
+    """Modularity communities of the weighted graph of the ten nearest neighbours of every vector, at the fixed resolution 0.5."""
+    return graphs.leiden(settled(_graph(s, d)), 0.5)
 
 
 @query(f"WITH {VOTERS} SELECT 'truth' AS \"column\", truth AS label, count(*)::BIGINT AS n_cells FROM voters GROUP BY ALL UNION ALL SELECT 'knowledge', knowledge, count(*)::BIGINT FROM voters GROUP BY ALL")

