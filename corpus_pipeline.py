@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from granary.llm import decontam, langid, mixing, ngram_join, pii
 from granary.llm.common import ready
+from granary.operators.lineage import settled
 
 #: Documents with a less certain language go, and those without a letter.
 MIN_SCORE = 0.4
@@ -29,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the document of the least doc_id of each group: five-word similarity of 0.8 or more. Without words, each is a group of its own. Of rows with equal doc_id and text the least by all their columns stays. Null doc_ids stay only where no other is in their group."""
     ready(spark)
     kept = ngram_join.similar(docs, k=NEAR_K, percent=NEAR_PERCENT).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy(F.col("doc_id").alias("_granary_kept")).agg(F.count("*").alias("_granary_rows"))
-    found = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_granary_kept")))
+    found = settled(docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_granary_kept"))))  # both branches below read it, so texts are shuffled once
     again = found.where("_granary_rows > 1").withColumn("_granary_hash", F.xxhash64("text")).groupBy("_granary_kept", "_granary_hash").agg(F.min(F.struct(*docs.columns)).alias("_granary_row"))
     return found.where("_granary_rows = 1").select(*docs.columns).unionAll(again.select("_granary_row.*"))
 
