@@ -149,19 +149,25 @@ def verified(spark: SparkSession, folder: str, listed: DataFrame, *, required: b
 
 
 def write_atomic(spark: SparkSession, path: str, write) -> None:
-    """``write(temporary path)`` beside the target, then a rename; what was there goes only when the new is complete, and a failure leaves it."""
+    """``write(temporary path)`` beside the target, then two renames: what was there goes aside first and is deleted last. A failure at any point puts it back."""
     fs, to = _fs(spark, path)
-    part = f"{path}.tmp-{uuid.uuid4().hex}"
-    at = spark._jvm.org.apache.hadoop.fs.Path(part)
+    named = lambda kind: spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{kind}-{uuid.uuid4().hex}")
+    new, old, done = named("tmp"), named("old"), False
     try:
-        write(part)
-        if fs.exists(to):
-            fs.delete(to, True)
-        if not fs.rename(at, to):
+        write(new.toString())
+        if fs.exists(to) and not fs.rename(to, old):
+            raise OSError(f"can't move {path} aside")
+        done = fs.rename(new, to)
+        if not done:
             raise OSError(f"can't rename to {path}")
     finally:
-        if fs.exists(at):
-            fs.delete(at, True)
+        if fs.exists(old):
+            if done:
+                fs.delete(old, True)
+            else:
+                fs.rename(old, to)
+        if fs.exists(new):
+            fs.delete(new, True)
 
 
 def write_csv(df: DataFrame, path: str, *, one_file: bool = False) -> None:

@@ -137,3 +137,16 @@ def test_resolver_ladder(spark):
     assert got["γ-δ T cells"] == ("gd_t_cell", 0.95, "normalised") and got["MONO"] == ("mono", 1.0, "node_id")
     assert got["CD14 + Monocyte"] == ("mono", 0.95, "normalised") and got["clasical monocyte"] == ("mono", 0.55, "fuzzy")
     assert got[""][2] == got[None][2] == got["hepatocyte"][2] == "unresolved"
+
+
+def test_exact_rank_sum_by_enumeration(spark):
+    from itertools import combinations
+
+    for n1, n2 in ((3, 3), (4, 6), (5, 5), (3, 7)):
+        us = [sum(1 for x in some for y in set(range(n1 + n2)) - set(some) if x > y) for some in combinations(range(n1 + n2), n1)]
+        assert numeric.rank_sum_counts(n1, n2) == [us.count(u) for u in range(n1 * n2 + 1)]
+    data = [("g", "a", float(v)) for v in (1, 2, 3, 4)] + [("g", "b", float(v)) for v in (5, 6, 7, 3.5)] + [("h", x, 1.0) for x in "aaabbb"] + [("i", "a", 1.0), ("i", "b", 2.0)]
+    got = {r.g: (r.u, r.p, r.method) for r in numeric.mann_whitney_exact(spark.createDataFrame(data, "g string, arm string, v double"), "v", "arm", "a", "b", "g").collect()}
+    us = [sum(1 for x in some for y in set(range(8)) - set(some) if x > y) for some in combinations(range(8), 4)]
+    assert got["g"] == (1.0, round(2 * sum(u <= 1 for u in us) / len(us), 6), "exact")
+    assert got["h"][2] == "normal" and got["i"][1:] == (None, None)
