@@ -111,8 +111,12 @@ class Lattice:
         return out
 
     def fit(self, words: dict[str, int], rounds: int = 4, add: float = 0.01) -> np.ndarray:
-        """Expectation maximisation of the piece probabilities of one language. The sample's words of more than LONG letters are no words of it and teach nothing."""
-        p, by = np.full((self.size, 1), 1.0 / self.size), sorted((x for x in words if len(x) <= LONG), key=len)
+        """Expectation maximisation of the piece probabilities of one language. Words of more than LONG letters, as in scripts without spaces, teach in runs of LONG letters; only pieces across two runs are not seen."""
+        runs: dict[str, int] = {}
+        for x, n in words.items():
+            for a in range(0, len(x), LONG):
+                runs[x[a : a + LONG]] = runs.get(x[a : a + LONG], 0) + n
+        p, by, words = np.full((self.size, 1), 1.0 / self.size), sorted(runs, key=len), runs
         for _ in range(rounds):
             count, w = np.zeros(self.size + 2), self.weights(p)
             for a in range(0, len(by), 8192):
