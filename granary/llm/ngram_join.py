@@ -22,6 +22,8 @@ from granary.operators.lineage import settled
 
 K, PERCENT = 4, 85
 TILE, BITS, LEAF, FAN = 256, 4096, 8, 8
+#: Sets that lie outside a block's largest component are sent once for each tile of the others, so those tiles are larger.
+WIDER = 4
 
 
 def families(percent: int, most: int) -> list[int]:
@@ -247,7 +249,7 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int =
     found = components(links)
     many = dealt.where("tiles > 1").join(apart(found, "node"), "node", "left").select("block", "node", F.coalesce("component", "node").alias("known"))
     most = many.groupBy("block", "known").agg(F.count("*").alias("n")).groupBy("block").agg(F.max_by("known", F.struct("n", "known")).alias("most"), F.max("n").alias("inner"), F.sum("n").alias("all")).where("inner < all")
-    rest = settled(many.join(apart(most, "block"), "block").withColumns({"left": F.col("known") != F.col("most"), "m": F.ceil(F.col("inner") / tile).cast("int"), "u": F.ceil((F.col("all") - F.col("inner")) / tile).cast("int")}))
+    rest = settled(many.join(apart(most, "block"), "block").withColumns({"left": F.col("known") != F.col("most"), "m": F.ceil(F.col("inner") / (WIDER * tile)).cast("int"), "u": F.ceil((F.col("all") - F.col("inner")) / (WIDER * tile)).cast("int")}))
     if not rest.isEmpty():
         rest = rest.withColumn("at", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("left"), F.col("u")).otherwise(F.col("m"))).cast("int"))
         at, none = F.col("at"), F.lit(None).cast("boolean")
