@@ -120,7 +120,7 @@ def _coin(*what, sides: int = 2):
     return F.pmod(F.xxhash64(*[F.lit(x) if isinstance(x, int) else F.col(x) for x in what]), F.lit(sides)) == 0
 
 
-def _moved(edges: DataFrame, nodes: DataFrame, total: int, resolution: float, seed: int, patience: int = 3) -> tuple[DataFrame, float]:
+def _moved(edges: DataFrame, nodes: DataFrame, total: int, resolution: float, seed: int, patience: int = 1) -> tuple[DataFrame, float]:
     """Local moves: (id, k, loop, community) of the best modularity found, and that. In each round nodes that gain by it join the community of the greatest gain, a changing half of them at once; of two that would swap only one does. It ends when no node gains, or modularity has not risen for some rounds."""
     at, best, last, r, idle = nodes, None, -1.0, 0, 0
     while True:

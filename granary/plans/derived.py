@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from granary.operators import clusters, consensus, enrichment, labels
-from granary.plans.registry import _TREE, CELLS, VOTERS, _tree, query
+from granary.operators import clusters, consensus, doublets, enrichment, gate, labels, numeric
+from granary.plans.registry import _TREE, CELLS, LOGNORM, VOTERS, _tree, query
 from granary.sources import cohorts
 from granary.sources import tables as T
 
@@ -150,3 +150,31 @@ def root_pseudotime(s, d):
 @query("SELECT l_orderkey AS cell_id, l_partkey AS gene_id, sum(CAST(l_quantity AS BIGINT))::BIGINT AS count FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F' GROUP BY 1, 2")
 def deconvolution_counts(s, d):
     return cohorts.deconvolution_ready(T.counts(s, d), T.cells(s, d).where("status = 'F'"))[0]
+
+
+_GATE = f"""{LOGNORM}, {CELLS}, p AS (SELECT p_brand AS panel, p_partkey AS gene_id FROM part), nc AS (SELECT count(*) AS n FROM cells), vm AS (SELECT gene_id, sum(round(value * 1e6)::BIGINT)::BIGINT AS s FROM lognorm GROUP BY 1), gb AS (SELECT gene_id, ntile(25) OVER (ORDER BY s, gene_id) AS bin FROM vm),
+wanted AS (SELECT DISTINCT panel, bin FROM p JOIN gb USING (gene_id)), first AS (SELECT bin, gene_id FROM (SELECT bin, gene_id, row_number() OVER (PARTITION BY bin ORDER BY md5('0:' || gene_id), gene_id) AS r FROM gb) WHERE r <= 50),
+ctl AS (SELECT panel, gene_id FROM wanted JOIN first USING (bin) ANTI JOIN p USING (panel, gene_id)), sets AS (SELECT panel, gene_id, true AS own FROM p UNION ALL SELECT panel, gene_id, false FROM ctl),
+n AS (SELECT panel, count(*) FILTER (own) AS a, count(*) FILTER (NOT own) AS b FROM sets GROUP BY 1), x AS (SELECT cell_id, panel, coalesce(sum(round(value * 1e6)::BIGINT) FILTER (own), 0)::BIGINT AS a, coalesce(sum(round(value * 1e6)::BIGINT) FILTER (NOT own), 0)::BIGINT AS b FROM lognorm JOIN sets USING (gene_id) GROUP BY 1, 2),
+sc AS (SELECT cells.cell_id, n.panel, round(coalesce(x.a, 0)::DOUBLE / greatest(n.a, 1) / 1e6::DOUBLE - coalesce(x.b, 0)::DOUBLE / greatest(n.b, 1) / 1e6::DOUBLE, 6) AS score FROM cells CROSS JOIN n LEFT JOIN x ON x.cell_id = cells.cell_id AND x.panel = n.panel),
+r AS (SELECT cell_id, min((-score, panel)) AS best, min((-score, panel)) FILTER (panel <> 'Brand#1') AS other FROM sc GROUP BY 1), has AS (SELECT DISTINCT cell_id FROM counts JOIN p USING (gene_id) WHERE panel = 'Brand#1' AND gene_id % 2 = 1 AND count > 0),
+c AS (SELECT r.cell_id, CASE WHEN best[2] = 'Brand#1' AND has.cell_id IS NULL AND -other[1] > 0.1 THEN other[2] ELSE best[2] END AS panel FROM r LEFT JOIN has ON has.cell_id = r.cell_id),
+k AS (SELECT cluster, panel, count(*) AS n FROM c JOIN cells USING (cell_id) GROUP BY 1, 2), m AS (SELECT cluster, min((-n, panel)) AS m, sum(n)::BIGINT AS n_cells FROM k GROUP BY 1),
+a AS (SELECT cluster, panel, round(sum(round(score * 1e6)::BIGINT)::BIGINT / count(*) / 1e6::DOUBLE, 5) AS score FROM sc JOIN cells USING (cell_id) GROUP BY 1, 2)"""
+
+
+@query(f"WITH {_GATE} SELECT m.cluster, CASE WHEN score > 0.1 THEN panel ELSE 'Other' END AS lineage, score, n_cells FROM m JOIN a ON a.cluster = m.cluster AND a.panel = m.m[2]")
+def lineage_score_gate(s, d):
+    """Brands as panels; the first is gated on its genes of odd ids."""
+    counts, cells = T.counts(s, d), T.cells(s, d)
+    values, panels = numeric.lognorm(counts), T.genes(s, d).select(F.col("brand").alias("panel"), "gene_id")
+    means = values.groupBy("gene_id").agg(F.sum(F.round(F.col("value") * 1e6).cast("long")).alias("mean"))
+    expressing = counts.where("count > 0").join(panels.where((F.col("panel") == "Brand#1") & (F.col("gene_id") % 2 == 1)), "gene_id").select("cell_id")
+    scores = gate.panel_cell_scores(values, panels, gate.control_genes(means, panels), cells)
+    return gate.lineage_gate(scores, cells, "cluster", gated="Brand#1", expressing=expressing)
+
+
+@query()
+def simulated_doublets(s, d):
+    """Doublets among all cells."""
+    return doublets.doublets(s, T.counts(s, d), T.cells(s, d), follow=4)
