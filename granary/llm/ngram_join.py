@@ -23,7 +23,7 @@ from granary.operators.lineage import settled
 K, PERCENT = 4, 85
 TILE, BITS, LEAF, FAN = 256, 4096, 8, 8
 #: Sets that lie outside a block's largest component are sent once for each tile of the others, so those tiles are larger.
-WIDER = 4
+WIDER = 16
 
 
 def families(percent: int, most: int) -> list[int]:
