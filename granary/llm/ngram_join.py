@@ -1,7 +1,7 @@
 """N-gram Jaccard join on signature trees.
 
 1. Each distinct shingle set is a node. Sets of a size family are cut into k parts by hash, k above the most differences that two linked sets can have: linked sets have at least one equal part that is not empty (see ``signatures``). Nodes that share a part's hash are candidates; only (hash, node) pairs are shuffled, and what shares a hash within a batch is linked there. At the size of a corpus, bitmaps of whole tiles are full and prune nothing, so this step, not the upper levels of a tree, keeps unlike sets apart.
-2. Connected candidates are a block; a block is dealt into tiles of bounded size. Each tile is joined by itself, together with the block's first set. Where that leaves more than one component in a block, the sets outside the largest one meet all others, tile by tile, in tasks of their own; no block of any size comes together in one task.
+2. Connected candidates are a block; a block is dealt into tiles of bounded size. Each tile is joined by itself, together with the block's first set. Where that leaves more than one component in a block, its sets meet again by single signatures: one whose sets are connected already asks nothing, of those with the same sets one is enough, and only sets that share an open signature are compared. Many small groups make a task together; of a large one, the sets outside its largest component meet all others, tile by tile, in tasks of their own. No block or group of any size comes together in one task.
 3. In a task, signature trees over the sets are traversed in pairs: a node holds the OR of its sets' token bitmaps and the range of their sizes. Node pairs are pruned if the largest possible overlap is too small, or if all their sets are connected already.
 4. The links found, a spanning forest for each task, give the components.
 """
@@ -22,8 +22,6 @@ from granary.operators.lineage import settled
 
 K, PERCENT = 4, 85
 TILE, BITS, LEAF, FAN = 256, 4096, 8, 8
-#: Sets that lie outside a block's largest component are sent once for each tile of the others, so those tiles are larger.
-WIDER = 16
 
 
 def families(percent: int, most: int) -> list[int]:
@@ -203,20 +201,50 @@ def _candidates(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
     return sigs.select(F.col("node").alias("a"), least.alias("b")).where("a > b").distinct()
 
 
+def _open(sets: DataFrame, percent: int) -> DataFrame:
+    """sets (node, known, set) -> (block, node, known): the signatures whose sets are not all connected, one for each membership."""
+
+    def make():
+        bounds = families(percent, 1_000_000)
+
+        def f(b):
+            rows = [np.frombuffer(s, np.uint64) for s in b["set"]]
+            if len(most := max(rows, key=len, default=())) >= bounds[-3]:
+                bounds[:] = families(percent, 2 * len(most))
+            sigs = [np.unique(signatures(x, percent, bounds)).view(np.int64) for x in rows]
+            n = [len(x) for x in sigs]
+            again = lambda c: np.repeat(np.array(b[c], np.int64), n).tolist()
+            return {"block": np.concatenate(sigs).tolist() if sigs else [], "node": again("node"), "known": again("known")}
+
+        return f
+
+    rows = settled(arrow_map(sets, make, "block long, node long, known long"))
+    same = rows.groupBy("block").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("y"), F.min("known").alias("lo"), F.max("known").alias("hi")).where("lo < hi")
+    asked = same.groupBy("n", "x", "y").agg(F.min("block").alias("block")).select("block")
+    return rows.join(apart(asked, "block"), "block")
+
+
 def _joined(met: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of the groups (block, i, j) of sets; ``left`` tells the two sides, null where all are one."""
+    """Links (a, b) of the groups (bundle, i, j) of sets, block by block; ``left`` tells the two sides, null where all are one."""
 
     def join(group):
         import pyarrow as pa
 
-        rows = {n: (side, known, np.frombuffer(s, np.uint64)) for n, side, known, s in zip(*(group[c].to_pylist() for c in ("node", "left", "known", "set")))}
-        names = sorted(rows)
-        at = {side: [k for k, x in enumerate(names) if rows[x][0] is side] for side in (None, True, False)}
-        left, right = (at[None], None) if at[None] else (at[True], at[False])
-        links = list(tree_join([rows[x][2] for x in names], left, right, percent, [rows[x][1] for x in names])) if left and right != [] else []
-        return pa.table({"a": pa.array([names[x] for x, _ in links], pa.int64()), "b": pa.array([names[y] for _, y in links], pa.int64())})
+        blocks: dict[int, dict] = {}
+        for block, n, side, known, s in zip(*(group[c].to_pylist() for c in ("block", "node", "left", "known", "set"))):
+            blocks.setdefault(block, {})[n] = side, known, np.frombuffer(s, np.uint64)
+        a, b = [], []
+        for rows in blocks.values():
+            names = sorted(rows)
+            at = {side: [k for k, x in enumerate(names) if rows[x][0] is side] for side in (None, True, False)}
+            left, right = (at[None], None) if at[None] else (at[True], at[False])
+            if left and right != []:
+                for x, y in tree_join([rows[x][2] for x in names], left, right, percent, [rows[x][1] for x in names]):
+                    a.append(names[x])
+                    b.append(names[y])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return met.groupBy("block", "i", "j").applyInArrow(join, "a long, b long")
+    return met.groupBy("bundle", "i", "j").applyInArrow(join, "a long, b long")
 
 
 def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
@@ -244,20 +272,32 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int =
     tiles = blocks.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     dealt = blocks.join(apart(tiles, "block"), "block").withColumn("at", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     everywhere = F.when(F.col("node") == F.col("block"), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("at"))
-    met = sets(dealt).select("block", F.explode(everywhere).alias("i"), F.lit(0).alias("j"), F.lit(None).cast("boolean").alias("left"), F.col("node").alias("known"), "node", "set")
+    none = F.lit(None).cast("boolean")
+    met = sets(dealt).select(F.col("block").alias("bundle"), "block", F.explode(everywhere).alias("i"), F.lit(0).alias("j"), none.alias("left"), F.col("node").alias("known"), "node", "set")
     links = settled(_joined(met, percent))
+    release(docs.sparkSession)
     found = components(links)
     many = dealt.where("tiles > 1").join(apart(found, "node"), "node", "left").select("block", "node", F.coalesce("component", "node").alias("known"))
-    most = many.groupBy("block", "known").agg(F.count("*").alias("n")).groupBy("block").agg(F.max_by("known", F.struct("n", "known")).alias("most"), F.max("n").alias("inner"), F.sum("n").alias("all")).where("inner < all")
-    rest = settled(many.join(apart(most, "block"), "block").withColumns({"left": F.col("known") != F.col("most"), "m": F.ceil(F.col("inner") / (WIDER * tile)).cast("int"), "u": F.ceil((F.col("all") - F.col("inner")) / (WIDER * tile)).cast("int")}))
+    parted = many.groupBy("block").agg(F.min("known").alias("lo"), F.max("known").alias("hi")).where("lo < hi").select("block")
+    rest = settled(many.join(apart(parted, "block"), "block").select("node", "known"))
     if not rest.isEmpty():
-        rest = rest.withColumn("at", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("left"), F.col("u")).otherwise(F.col("m"))).cast("int"))
-        at, none = F.col("at"), F.lit(None).cast("boolean")
+        asked = settled(_open(sets(rest), percent))
+        release(docs.sparkSession)
+        most = asked.groupBy("block", "known").agg(F.count("*").alias("n")).groupBy("block").agg(F.max_by("known", F.struct("n", "known")).alias("most"), F.max("n").alias("inner"), F.sum("n").alias("all"))
+        sized = asked.join(apart(most, "block"), "block")
+        small = sized.where(F.col("all") <= tile)
+        bundles = max(1, small.count() // (4 * tile))
+        few = small.select(F.pmod(F.xxhash64("block"), F.lit(bundles)).alias("bundle"), "block", F.lit(0).alias("i"), F.lit(0).alias("j"), none.alias("left"), "known", "node")
+        large = sized.where(F.col("all") > tile).withColumns({"outside": F.col("known") != F.col("most"), "m": F.ceil(F.col("inner") / tile).cast("int"), "u": F.ceil((F.col("all") - F.col("inner")) / tile).cast("int")})
+        large = large.withColumn("at", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("outside"), F.col("u")).otherwise(F.col("m"))).cast("int"))
+        at = F.col("at")
         pair = lambda i, j, left: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), left.alias("left"))
         outer = F.transform(F.sequence(F.lit(0), F.col("u") - 1), lambda x: pair(F.least(at, x), F.greatest(at, x), F.when(at != x, at < x)))
-        cross = F.transform(F.sequence(F.lit(0), F.when(F.col("left"), F.col("m")).otherwise(F.col("u")) - 1), lambda x: F.when(F.col("left"), pair(at, -1 - x, F.lit(True))).otherwise(pair(x, -1 - at, F.lit(False))))
-        met = sets(rest).withColumn("p", F.explode(F.when(F.col("left"), F.concat(outer, cross)).otherwise(cross))).select("block", "p.i", "p.j", "p.left", "known", "node", "set")
-        found = components(links.unionAll(_joined(met, percent)))
+        cross = F.transform(F.sequence(F.lit(0), F.when(F.col("outside"), F.col("m")).otherwise(F.col("u")) - 1), lambda x: F.when(F.col("outside"), pair(at, -1 - x, F.lit(True))).otherwise(pair(x, -1 - at, F.lit(False))))
+        tiled = large.withColumn("p", F.explode(F.when(F.col("outside"), F.concat(outer, cross)).otherwise(cross))).select(F.col("block").alias("bundle"), "block", "p.i", "p.j", "p.left", "known", "node")
+        each = settled(sets(asked.select("node").distinct()))
+        meeting = few.unionAll(tiled)
+        found = components(links.unionAll(_joined(meeting.join(apart(each, "node"), "node").select("bundle", "block", "i", "j", "left", "known", "node", "set"), percent)))
     named = nodes.join(apart(found, "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("node is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return named.join(apart(least, "component"), "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
