@@ -225,3 +225,51 @@ def resolution_audit(edges: DataFrame, resolutions: list[float], seed: int = 0,
         rows.append(row.select("resolution", "communities", "largest", "smallest", "modularity", "ari", "nmi", "stability"))
         before = labels
     return union_all(rows)
+
+
+def refine_mixed(edges: DataFrame, labels: DataFrame, mixed: DataFrame, resolution: float = 0.3, *, smallest: int = 30, budget: int = 24, least: float = 0.05, depth: int = 1, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Splits the clusters of ``mixed`` (cluster) by the communities of their own part of the graph: edges (src, dst, weight), labels (id, cluster string) -> (id, cluster, refined) with every row of labels, and a report of each cluster looked at.
+
+    All mixed clusters are divided in one run of ``leiden``: edges between clusters are left out, each cluster's weights are scaled to the same sum, and the resolution grows with their number, so every cluster is divided as if by itself. Children of fewer than ``smallest`` rows, and rows without an edge, go to the largest child. A split is accepted if two children are left and their modularity within the cluster reaches ``least``. Accepted splits are made from the largest cluster on, until ``budget`` new clusters are there; the report names the others. Children are named ``cluster.1`` and on, the largest first. With a ``depth`` above 1, children are looked at in their turn.
+
+    Clusters that are not mixed, or have fewer than twice ``smallest`` rows, keep their name. Null clusters stay null. Empty tables: no rows.
+    """
+    spark = labels.sparkSession
+    now, flagged, reports, left = settled(labels.select("id", "cluster", F.col("cluster").alias("refined"))), mixed.select(F.col("cluster").alias("refined")).distinct(), [], budget
+    for level in range(depth):
+        sizes = now.groupBy("refined").agg(F.count("*").alias("n")).join(flagged, "refined").where(F.col("n") >= 2 * smallest)
+        sizes = settled(sizes)
+        rows = now.join(sizes.select("refined"), "refined").select("id", "refined")
+        a, b = (rows.select(F.col("id").alias(c), F.col("refined").alias(x)) for c, x in (("src", "a"), ("dst", "b")))
+        inner = settled(edges.where("src <> dst and weight > 0").join(a, "src").join(b, "dst").where("a = b").select("src", "dst", "weight", F.col("a").alias("refined")))
+        sums = inner.groupBy("refined").agg(F.sum("weight").alias("all"))
+        clusters, links = sums.count(), inner.count()
+        if clusters:
+            even = inner.join(sums, "refined").select("src", "dst", (F.col("weight") / F.col("all") * (links / clusters)).alias("weight"))
+            found = leiden(even, resolution * clusters, seed + level).withColumnRenamed("community", "child")
+        else:
+            found = spark.createDataFrame([], "id long, child long")
+        parts = settled(rows.join(found, "id", "left"))
+        kept = parts.where("child is not null").groupBy("refined", "child").agg(F.count("*").alias("m")).where(F.col("m") >= smallest)
+        kept = kept.withColumn("rank", F.row_number().over(Window.partitionBy("refined").orderBy(F.desc("m"), "child"))).select("refined", "child", "rank", "m")
+        dealt = settled(parts.join(kept, ["refined", "child"], "left").select("id", "refined", F.coalesce("rank", F.lit(1)).alias("rank"), F.col("rank").isNull().alias("merged")))
+        a, b = (dealt.select(F.col("id").alias(c), F.col("rank").alias(x)) for c, x in (("src", "a"), ("dst", "b")))
+        ends = inner.join(a, "src").join(b, "dst").groupBy("refined", "a", "b").agg(F.sum("weight").alias("w"))
+        mass = ends.select("refined", "w", F.explode(F.array("a", "b")).alias("rank")).groupBy("refined", "rank").agg(F.sum("w").alias("k")).groupBy("refined").agg(F.sum(F.col("k") * F.col("k")).alias("kk"))
+        within = ends.groupBy("refined").agg(F.sum(F.when(F.col("a") == F.col("b"), F.col("w")).otherwise(0.0)).alias("w"), F.sum("w").alias("all")).join(mass, "refined")
+        quality = within.select("refined", F.round(F.col("w") / F.col("all") - F.col("kk") / (4 * F.col("all") * F.col("all")), 6).alias("modularity"))
+        many = dealt.groupBy("refined").agg(F.max("rank").cast("long").alias("children"), F.count_if("merged").alias("merged"))
+        said = sizes.join(many, "refined").join(quality, "refined", "left").withColumn("fit", (F.col("children") > 1) & (F.col("modularity") >= least))
+        # a row a mixed cluster
+        before = F.coalesce(F.sum(F.when(F.col("fit"), F.col("children") - 1).otherwise(0)).over(Window.orderBy(F.desc("n"), "refined").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        said = settled(said.withColumn("split", F.col("fit") & (before < left)).select(F.lit(level + 1).alias("level"), F.col("refined").alias("cluster"), "n", "children", "merged", "modularity", "split", (F.col("fit") & ~F.col("split")).alias("over_budget")))
+        reports.append(said)
+        split = said.where("split").select(F.col("cluster").alias("refined"))
+        named = dealt.join(split, "refined").select("id", F.concat_ws(".", "refined", F.col("rank").cast("string")).alias("next"))
+        now = settled(now.join(named, "id", "left").select("id", "cluster", F.coalesce("next", "refined").alias("refined")))
+        made = said.where("split").agg(F.sum(F.col("children") - 1)).first()[0]
+        left -= made or 0
+        if not made:
+            break
+        flagged = named.select(F.col("next").alias("refined")).distinct()
+    return now, union_all(reports)

@@ -220,6 +220,13 @@ def neighbour_communities(s, d):
     return graphs.leiden(settled(_graph(s, d)), 0.5)
 
 
+@query()
+def mixed_cluster_refinement(s, d):
+    """The labels of all vectors as clusters, each split where its own neighbours part it."""
+    labels = T.load(s, d, "embeddings").select(F.col("vec_id").cast("long").alias("id"), F.col("label").cast("string").alias("cluster"))
+    return graphs.refine_mixed(settled(_graph(s, d)), labels, labels.select("cluster").distinct(), smallest=10)[0]
+
+
 @query(f"WITH {VOTERS} SELECT 'truth' AS \"column\", truth AS label, count(*)::BIGINT AS n_cells FROM voters GROUP BY ALL UNION ALL SELECT 'knowledge', knowledge, count(*)::BIGINT FROM voters GROUP BY ALL")
 def label_mapping_table(s, d):
     return metrics.union_all([T.voters(s, d).groupBy(F.lit(c).alias("column"), F.col(c).alias("label")).agg(F.count("*").alias("n_cells")) for c in ("truth", "knowledge")])
