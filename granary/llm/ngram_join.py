@@ -1,9 +1,10 @@
 """N-gram Jaccard join on signature trees.
 
-1. Each distinct shingle set is a node. Sets of a size family are cut into k parts by hash, k above the most differences that two linked sets can have: linked sets have at least one equal part that is not empty (see ``signatures``). Nodes that share a part's hash are candidates; only (hash, node) pairs are shuffled, and what shares a hash within a batch is linked there. At the size of a corpus, bitmaps of whole tiles are full and prune nothing, so this step, not the upper levels of a tree, keeps unlike sets apart.
-2. Connected candidates are a block; a block is dealt into tiles of bounded size. Each tile is joined by itself, together with the block's first set. Where that leaves more than one component in a block, its sets meet again by single signatures: one whose sets are connected already asks nothing, of those with the same sets one is enough, and only sets that share an open signature are compared. Many small groups make a task together; of a large one, the sets outside its largest component meet all others, tile by tile, in tasks of their own. No block or group of any size comes together in one task.
-3. In a task, signature trees over the sets are traversed in pairs: a node holds the OR of its sets' token bitmaps and the range of their sizes. Node pairs are pruned if the largest possible overlap is too small, or if all their sets are connected already.
-4. The links found, a spanning forest for each task, give the components.
+1. Each distinct shingle set is a node. Sets of a size family are cut into k parts by hash, k above the most differences that two linked sets can have: linked sets have several equal parts that are not empty (see ``signed``). Only (hash, node) pairs are shuffled. A node with fewer shared parts than a link needs has no link and goes; the others that share a part's hash are candidates. At the size of a corpus, bitmaps of whole tiles are full and prune nothing, so this step, not the upper levels of a tree, keeps unlike sets apart.
+2. Connected candidates are a block. Small blocks are joined each by itself, many to a task.
+3. In a large block, shingles are ordered by the number of its sets that have them. If two sets are linked, their first common shingle comes so early in both that what follows is enough for their sizes (see ``_prefixes``): sets that share such a shingle are a group, and shingles of one set alone, as edits make them, lead to nothing. Each set meets the hub of its groups, the set with the fewest shingles of its own. Groups whose sets are then not all connected are open; their sets meet: many small groups make a task together; of a large one, the sets outside its largest component meet all others, tile by tile, in tasks of their own. No block or group of any size comes together in one task.
+4. In a task, signature trees over the sets are traversed in pairs: a node holds the OR of its sets' token bitmaps and the range of their sizes. Node pairs are pruned if the largest possible overlap is too small, or if all their sets are connected already.
+5. The links found, a spanning forest for each task, give the components.
 """
 
 from __future__ import annotations
@@ -32,12 +33,12 @@ def families(percent: int, most: int) -> list[int]:
     return b
 
 
-def signatures(x: np.ndarray, percent: int, bounds: list[int]) -> np.ndarray:
-    """Part hashes of a set, for the family of its class and of the one below.
+def signed(x: np.ndarray, percent: int, bounds: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Part hashes of a set, for the family of its class and of the one below; and for each 2 * need + (1 in the family below), need being how many hashes of this family the set shares with any set that it is linked with.
 
-    Linked sets x and y of a family differ in at most d elements, so of k = d + 1 + spare parts at least spare + 1 are equal. If a set has no more than ``spare`` empty parts, one of those is not empty. The few sets with more empty parts also give a hash for each of these.
+    Linked sets x and y of a family differ in at most d elements, so of k = d + 1 + spare parts at least spare + 1 are equal. If a set has no more than ``spare`` empty parts, all but these are equal parts that are not empty. The few sets with more empty parts also give a hash for each of these, and need one.
     """
-    c, out = bisect_right(bounds, len(x)) - 1, []
+    c, out, needs = bisect_right(bounds, len(x)) - 1, [], []
     for f in (c, c - 1):
         if f < 0:
             continue
@@ -55,7 +56,13 @@ def signatures(x: np.ndarray, percent: int, bounds: list[int]) -> np.ndarray:
         if k - len(full) > spare:
             empty = np.setdiff1d(np.arange(k), full)
             out.append(mix(mix(empty.astype(np.uint64) + np.uint64(f << 32)) ^ M1))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        need = max(1, spare + 1 - (k - len(full)))
+        needs.append(np.full(sum(map(len, out)) - sum(map(len, needs)), 2 * need + (f != c), np.int64))
+    return (np.concatenate(out), np.concatenate(needs)) if out else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def signatures(x: np.ndarray, percent: int, bounds: list[int]) -> np.ndarray:
+    return signed(x, percent, bounds)[0]
 
 
 class Tree:
@@ -163,8 +170,8 @@ def _distinct_nodes(docs: DataFrame, k: int) -> tuple[DataFrame, int]:
         seed += 2
 
 
-def _candidates(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
-    """Distinct (a, b): nodes that share a signature with a smaller node, and the least such node of the batch or of all. Of a batch's nodes with a signature only the least is sent on for it, so a signature that very many nodes share gives a row a batch."""
+def _shared(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
+    """(sig, node, m): the signatures that a node shares with another, and what it needs (see ``signed``). Of a batch's nodes with a signature only the least is dealt out by it, the others by themselves, so a signature that very many nodes share gives a row a batch."""
 
     def make():
         from pyarrow import array
@@ -172,7 +179,7 @@ def _candidates(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
         seen: set[int] = set()
 
         def f(b):
-            sig, node = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            sig, node, m = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for t in b["text"]:
                 x = shingle_set(t, k)
                 if len(x) and (d := digest(x, seed)) not in seen:  # a task tells of each set once
@@ -181,44 +188,60 @@ def _candidates(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
                     seen.add(d)
                     if len(x) >= bounds[-3]:
                         bounds[:] = families(percent, 2 * len(x))
-                    sig.append(signatures(x, percent, bounds))
-                    node.append(np.full(len(sig[-1]), d, np.int64))
-            sig, node = np.concatenate(sig).view(np.int64), np.concatenate(node)
+                    s, need = signed(x, percent, bounds)
+                    sig.append(s)
+                    m.append(need)
+                    node.append(np.full(len(s), d, np.int64))
+            sig, node, m = np.concatenate(sig).view(np.int64), np.concatenate(node), np.concatenate(m)
             order = np.lexsort((node, sig))
-            sig, node = sig[order], node[order]
+            sig, node, m = sig[order], node[order], m[order]
             new = np.diff(sig, prepend=sig[:1] - 1) != 0
-            least = node[np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))]
-            link = node > least
-            pairs = np.unique(np.stack([node[link], least[link]]), axis=1)
-            n = int(new.sum())
-            return {"sig": array(np.concatenate([sig[new], pairs[0]])), "node": array(np.concatenate([node[new], pairs[0]])), "b": array(np.concatenate([np.zeros(n, np.int64), pairs[1]]), mask=np.arange(n + pairs.shape[1]) < n)}
+            met = np.append(~new[1:], False) | ~new  # shared within the batch
+            return {"route": array(np.where(new, sig, node)), "sig": array(sig, mask=new), "node": array(node), "m": array(np.where(met, -m, m))}
 
         bounds = families(percent, 1_000_000)
         return f
 
-    sigs = arrow_map(docs.select("text"), make, "sig long, node long, b long")
-    least = F.coalesce("b", F.min(F.when(F.col("b").isNull(), F.col("node"))).over(Window.partitionBy("sig")))
-    return sigs.select(F.col("node").alias("a"), least.alias("b")).where("a > b").distinct()
+    rows, by = arrow_map(docs.select("text"), make, "route long, sig long, node long, m long"), Window.partitionBy("route")
+    rows = rows.withColumn("other", F.min("node").over(by) < F.max("node").over(by)).where("other or m < 0")
+    return rows.select(F.coalesce("sig", "route").alias("sig"), "node", F.abs("m").alias("m"))
 
 
-def _open(sets: DataFrame, percent: int) -> DataFrame:
-    """sets (node, known, set) -> (block, node, known): the signatures whose sets are not all connected, one for each membership."""
+def _candidates(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
+    """Distinct (a, b): nodes that share a signature, and the least node that has it; only of nodes that share as many as a link needs."""
+    rows = settled(_shared(docs, k, percent, seed))
+    enough = rows.groupBy("node", "m").agg(F.count("*").alias("n")).where("n >= shiftright(m, 1)").select("node", "m")
+    rows = settled(rows.join(apart(enough, "node"), ["node", "m"]).select("sig", "node"), rows)
+    least = rows.groupBy("sig").agg(F.min("node").alias("b"), F.max("node").alias("c")).where("b < c").select("sig", "b")
+    return rows.join(apart(least, "sig"), "sig").select(F.col("node").alias("a"), "b").where("a > b").distinct()
 
-    def make():
-        bounds = families(percent, 1_000_000)
 
+def _prefixes(each: DataFrame, percent: int) -> DataFrame:
+    """each (node, set) -> (group, node, own): the shingles at which a link of the set can begin.
+
+    All sets have their shingles in the same order: by the number of sets that have it, then by value. Let w be the first common shingle of two linked sets of n and l shingles, at place p of the first one: then n - p is at least their overlap, so 100 + percent times n - p is at least percent * (n + l), which bounds l by ``most``. ``own`` is the number of shingles that no other set has; they come first and begin no link.
+    """
+
+    def make():
         def f(b):
-            rows = [np.frombuffer(s, np.uint64) for s in b["set"]]
-            if len(most := max(rows, key=len, default=())) >= bounds[-3]:
-                bounds[:] = families(percent, 2 * len(most))
-            sigs = [np.unique(signatures(x, percent, bounds)).view(np.int64) for x in rows]
-            n = [len(x) for x in sigs]
-            again = lambda c: np.repeat(np.array(b[c], np.int64), n).tolist()
-            return {"block": np.concatenate(sigs).tolist() if sigs else [], "node": again("node"), "known": again("known")}
+            n = [len(s) // 8 for s in b["set"]]
+            return {"node": np.repeat(np.array(b["node"], np.int64), n).tolist(), "n": np.repeat(np.array(n, np.int64), n).tolist(), "w": np.frombuffer(b"".join(b["set"]), np.int64).tolist()}
 
         return f
 
-    rows = settled(arrow_map(sets, make, "block long, node long, known long"))
+    rows = settled(arrow_map(each.select("node", "set"), make, "node long, n long, w long"))
+    often = rows.groupBy("w").agg(F.count("*").alias("sets")).where("sets > 1")
+    found = rows.join(apart(often, "w"), "w").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("sets", "w"))).alias("ws"))
+    found = found.withColumn("own", F.col("n") - F.size("ws")).select("node", "n", "own", F.posexplode("ws").alias("p", "x"))
+    most = F.floor((100 + percent) * (F.col("n") - F.col("own") - F.col("p")) / percent) - F.col("n")
+    found = settled(found.select("node", "n", "own", F.col("x.w").alias("group"), most.alias("most")).where(100 * F.col("most") >= percent * F.col("n")), rows)
+    fit = found.groupBy("group").agg(F.count("*").alias("sets"), F.min("n").alias("least"), F.max("most").alias("reach")).where("sets > 1 and least <= reach").drop("sets")
+    return found.join(apart(fit, "group"), "group").where("most >= least and n <= reach").select("group", "node", "own")
+
+
+def _open(groups: DataFrame) -> DataFrame:
+    """groups (group, node, known) -> (block, node, known): the groups whose sets are not all connected, one for each membership."""
+    rows = groups.withColumnRenamed("group", "block")
     same = rows.groupBy("block").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("y"), F.min("known").alias("lo"), F.max("known").alias("hi")).where("lo < hi")
     asked = same.groupBy("n", "x", "y").agg(F.min("block").alias("block")).select("block")
     return rows.join(apart(asked, "block"), "block")
@@ -269,19 +292,28 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int =
 
         return arrow_map(texts, make, ", ".join(f"{c} {t}" for c, t in members.dtypes) + ", set binary")
 
-    tiles = blocks.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    dealt = blocks.join(apart(tiles, "block"), "block").withColumn("at", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    everywhere = F.when(F.col("node") == F.col("block"), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("at"))
-    none = F.lit(None).cast("boolean")
-    met = sets(dealt).select(F.col("block").alias("bundle"), "block", F.explode(everywhere).alias("i"), F.lit(0).alias("j"), none.alias("left"), F.col("node").alias("known"), "node", "set")
-    links = settled(_joined(met, percent))
+    small = F.col("many") <= tile
+    many = blocks.groupBy("block").agg(F.count("*").alias("many"))
+    each = settled(sets(blocks.join(apart(many, "block"), "block")))
     release(docs.sparkSession)
-    found = components(links)
-    many = dealt.where("tiles > 1").join(apart(found, "node"), "node", "left").select("block", "node", F.coalesce("component", "node").alias("known"))
-    parted = many.groupBy("block").agg(F.min("known").alias("lo"), F.max("known").alias("hi")).where("lo < hi").select("block")
-    rest = settled(many.join(apart(parted, "block"), "block").select("node", "known"))
-    if not rest.isEmpty():
-        asked = settled(_open(sets(rest), percent))
+    none, zero = F.lit(None).cast("boolean"), F.lit(0)
+    bundles = max(1, each.where(small).count() // (2 * tile))
+    links = settled(_joined(each.where(small).select(F.pmod(F.xxhash64("block"), F.lit(bundles)).alias("bundle"), "block", zero.alias("i"), zero.alias("j"), none.alias("left"), F.col("node").alias("known"), "node", "set"), percent))
+    each = each.where(~small).select("node", "set")
+    if not each.isEmpty():
+        groups = settled(_prefixes(each, percent))
+        release(docs.sparkSession)
+        hubs = groups.groupBy("group").agg(F.min_by("node", F.struct("own", "node")).alias("block"))
+        pairs = settled(groups.join(apart(hubs, "group"), "group").where("node <> block").select("block", "node").distinct())
+        bundles = max(1, pairs.count() // (2 * tile))
+        parts = pairs.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
+        left = pairs.join(apart(parts, "block"), "block").select("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("i"), F.lit(True).alias("left"), "node")
+        right = parts.select("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.lit(False).alias("left"), F.col("block").alias("node"))
+        met = left.unionAll(right).join(apart(each, "node"), "node").select(F.pmod(F.xxhash64("block"), F.lit(bundles)).alias("bundle"), "block", "i", zero.alias("j"), "left", F.col("node").alias("known"), "node", "set")
+        hubbed = settled(_joined(met, percent))
+        links = links.unionAll(hubbed)
+        known = groups.join(apart(components(hubbed), "node"), "node", "left").select("group", "node", F.coalesce("component", "node").alias("known"))
+        asked = settled(_open(known))
         release(docs.sparkSession)
         most = asked.groupBy("block", "known").agg(F.count("*").alias("n")).groupBy("block").agg(F.max_by("known", F.struct("n", "known")).alias("most"), F.max("n").alias("inner"), F.sum("n").alias("all"))
         sized = asked.join(apart(most, "block"), "block")
@@ -295,9 +327,9 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, tile: int =
         outer = F.transform(F.sequence(F.lit(0), F.col("u") - 1), lambda x: pair(F.least(at, x), F.greatest(at, x), F.when(at != x, at < x)))
         cross = F.transform(F.sequence(F.lit(0), F.when(F.col("outside"), F.col("m")).otherwise(F.col("u")) - 1), lambda x: F.when(F.col("outside"), pair(at, -1 - x, F.lit(True))).otherwise(pair(x, -1 - at, F.lit(False))))
         tiled = large.withColumn("p", F.explode(F.when(F.col("outside"), F.concat(outer, cross)).otherwise(cross))).select(F.col("block").alias("bundle"), "block", "p.i", "p.j", "p.left", "known", "node")
-        each = settled(sets(asked.select("node").distinct()))
         meeting = few.unionAll(tiled)
-        found = components(links.unionAll(_joined(meeting.join(apart(each, "node"), "node").select("bundle", "block", "i", "j", "left", "known", "node", "set"), percent)))
+        links = links.unionAll(_joined(meeting.join(apart(each, "node"), "node").select("bundle", "block", "i", "j", "left", "known", "node", "set"), percent))
+    found = components(links)
     named = nodes.join(apart(found, "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("node is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return named.join(apart(least, "component"), "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -594,6 +594,45 @@ def test_a_chain_of_near_copies_over_many_tiles(spark):
     assert set(got.values()) == {0} and len(got) == 100
 
 
+def test_a_shared_passage_makes_no_candidates(spark):
+    """One equal part is less than a link needs: documents with a common passage and nothing else alike are not compared."""
+    common = " ".join(f"c{k}" for k in range(12))
+    docs = spark.createDataFrame([(d, " ".join(f"w{d}_{k}" for k in range(40)) + " " + common) for d in range(200)], "doc_id long, text string")
+    assert ngram_join._candidates(docs, 4, 85, 0).count() == 0
+
+
+def test_what_linked_sets_share_is_what_they_need():
+    rng = np.random.default_rng(6)
+    bounds, met = ngram_join.families(85, 1000), 0
+    for _ in range(600):
+        n = int(rng.integers(4, 300))
+        x = rng.integers(0, 2**63, n, dtype=np.uint64)
+        k = int(rng.integers(1, max(1, n // 6) + 1))
+        y = np.unique(np.concatenate([x[k // 2 :], rng.integers(0, 2**63, k - k // 2, dtype=np.uint64)]))
+        x = np.unique(x)
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= 85 * (len(x) + len(y) - both):
+            (s, m), (t, o) = ngram_join.signed(x, 85, bounds), ngram_join.signed(y, 85, bounds)
+            met += 1
+            assert any(np.isin(s[m == a], t[o == b]).sum() >= max(a, b) >> 1 for a in set(m.tolist()) for b in set(o.tolist()))
+    assert met > 100
+
+
+def test_edited_copies_begin_no_link(spark):
+    """Copies of one text with many edits each are one block, but only those with few begin a link; the result is brute force's."""
+    rng = np.random.default_rng(8)
+    base, texts = [f"b{k}" for k in range(150)], []
+    for d in range(60):
+        w = list(base)
+        for p in rng.choice(150, 1 if d < 20 else 14, replace=False):
+            w[p] = f"e{d}_{p}"
+        texts.append((d, " ".join(w)))
+    each = spark.createDataFrame([(d, bytearray(ngram_join.shingle_set(t, 4).tobytes())) for d, t in texts], "node long, set binary")
+    assert {r.node for r in ngram_join._prefixes(each, 85).collect()} == set(range(20))
+    got = ngram_join.similar(spark.createDataFrame(texts, "doc_id long, text string"), tile=8).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts)
+
+
 def test_hot_passages_are_parted(spark):
     """Passages of 40 to 130 bytes in every document, with other text around: shards of two contexts part them down to single windows."""
     rng = np.random.default_rng(1)
