@@ -1,6 +1,6 @@
 """Suffix-array deduplication of long repeated byte strings.
 
-Every WINDOW-byte string holds the winnowing anchor that its own bytes select: the Q-gram of least hash. Equal strings select the same anchor, so only anchors that occur twice matter. An anchor's context is all that a window around it can hold. Equal contexts are found by hash; where contexts of one anchor differ, the distinct ones go to a shard, whose suffixes are sorted by induced sorting over disk-backed bucket queues: neighbours with a common prefix of WINDOW bytes are the repeats. An anchor with more contexts than a shard holds is parted by the bytes that windows share, down to single windows, so a shard is bounded and its text and arrays fit in a task; what the method asks for beyond that (common prefixes carried in the queues, recursion over more than one level, shards larger than memory) is not done.
+Every WINDOW-byte string holds the winnowing anchor that its own bytes select: the Q-gram of least hash. Equal strings select the same anchor, so only anchors that occur twice matter. An anchor's context is all windows that select it, so a window is in one context only. Equal contexts are found by hash; where contexts of one anchor differ, the distinct ones go to a shard, whose suffixes are sorted by induced sorting over disk-backed bucket queues: neighbours with a common prefix of WINDOW bytes are the repeats. An anchor with more contexts than a shard holds is parted by the bytes that windows share, down to single windows, so a shard is bounded and its text and arrays fit in a task; what the method asks for beyond that (common prefixes carried in the queues, recursion over more than one level, shards larger than memory) is not done.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ WINDOW, Q = 100, 32
 SIDE = WINDOW - Q
 #: Contexts in a shard, on average; entries that a queue holds in memory before it writes them to disk.
 SHARD, HELD = 20_000, 4_000_000
+#: Bytes of short texts that are looked at together.
+CHUNK = 1 << 17
 
 
 def _grams(b: np.ndarray, q: int) -> np.ndarray:
@@ -31,17 +33,21 @@ def _grams(b: np.ndarray, q: int) -> np.ndarray:
     return mix(h)
 
 
-def anchors(b: np.ndarray) -> np.ndarray:
-    """Positions of the Q-grams that are the least (rightmost of equals) in some window."""
+def anchors(b: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the Q-grams that are the least (rightmost of equals) in some window of one text, with the first and the last start of these windows; texts of these sizes follow each other in b."""
+    none = np.zeros(0, np.int64)
     if len(b) < WINDOW:
-        return np.zeros(0, np.int64)
+        return none, none, none
     mask = np.uint64(0xFFFFFFFF)
     h = (_grams(b, Q) & ~mask) | (mask - np.arange(len(b) - Q + 1, dtype=np.uint64))
     low, n, span = h, 1, SIDE + 1
     while 2 * n <= span:
         low, n = np.minimum(low[:-n], low[n:]), 2 * n
     at = mask - (np.minimum(low[: len(h) - span + 1], low[span - n : len(h) - n + 1]) & mask)
-    return at[np.flatnonzero(np.diff(at.astype(np.int64), prepend=-1))].astype(np.int64)
+    start = np.flatnonzero(np.arange(len(at)) + WINDOW <= np.repeat(np.cumsum(size), size)[: len(at)])
+    at = at[start].astype(np.int64)
+    run = np.flatnonzero(np.diff(at, prepend=-1))
+    return at[run], start[run], start[np.append(run[1:], len(at))[: len(run)] - 1]
 
 
 class Queue:
@@ -207,37 +213,44 @@ def _runs(starts: np.ndarray, depth: int = WINDOW) -> list[tuple[int, int]]:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """oid, key, n and, exploded, anchor, context hash and position of every anchor, and whether an equal context starts earlier in the batch: such a row needs no look at the others, and is dealt out by its document instead of its anchor, so that a passage of very many documents is a row a batch."""
+    """oid, key, anchor, context hash and place (start of the first window, and in the two lower bytes the number of further ones and the anchor's offset in the first) of every anchor, and whether an equal context starts earlier in the batch: such a row needs no look at the others, and is dealt out by its document instead of its anchor, so that a passage of very many documents is a row a batch. Short texts are looked at together, CHUNK bytes at a time."""
 
     def make():
+        def look(texts, size):
+            x = np.frombuffer(b"".join(texts), np.uint8)
+            p, s0, s1 = anchors(x, size)
+            step = np.concatenate([np.zeros(1, np.uint64), np.cumsum((x.astype(np.uint64) + np.uint64(1)) * _power(len(x)), dtype=np.uint64)])
+            ctx = mix((step[s1 + WINDOW] - step[s0]) * _inverse(len(x))[s0] + mix((p - s0).astype(np.uint64) * M1 + (s1 + WINDOW - p).astype(np.uint64)))
+            row = np.searchsorted(np.cumsum(size), s0, "right")
+            first = s0 - (np.cumsum(size) - size)[row]
+            return row, (_grams(x, Q)[p] if len(p) else p).view(np.int64), ctx.view(np.int64), first, s1 - s0, p - s0
+
         def f(b):
-            out = {"oid": b["oid"], "key": b["key"], "n": [], "at": []}
-            first: dict[tuple[int, int], tuple] = {}
-            for oid, key, t in zip(b["oid"], b["key"], b["text"]):
-                x = np.frombuffer((t or "").encode("utf-8", "surrogatepass"), np.uint8)
-                p, rows = anchors(x), []
-                out["n"].append(len(x))
-                if len(p):
-                    step = np.concatenate([np.zeros(1, np.uint64), np.cumsum((x.astype(np.uint64) + np.uint64(1)) * _power(len(x)), dtype=np.uint64)])
-                    left, right = np.maximum(p - SIDE, 0), np.minimum(p + WINDOW, len(x))
-                    ctx = mix((step[right] - step[left]) * _inverse(len(x))[left] + mix((p - left).astype(np.uint64) * M1 + (right - p).astype(np.uint64)))
-                    h = _grams(x, Q)[p]
-                    rows = [{"anchor": a, "ctx": c, "pos": q, "again": False} for a, c, q in zip(h.view(np.int64).tolist(), ctx.view(np.int64).tolist(), p.tolist())]
-                    for r in rows:
-                        at, had = (oid, key, r["pos"]), first.get((r["anchor"], r["ctx"]))
-                        if had is None or at < had[0]:
-                            if had is not None:
-                                had[1]["again"] = True
-                            first[r["anchor"], r["ctx"]] = (at, r)
-                        else:
-                            r["again"] = at > had[0]
-                out["at"].append(rows)
-            return out
+            texts = [t or b"" for t in b["text"]]
+            size, ids = np.array([len(t) for t in texts], np.int64), list(zip(b["oid"], b["key"]))
+            edge = np.flatnonzero(np.diff(np.cumsum(size) // CHUNK, prepend=-1)).tolist() + [len(texts)]
+            seen = [(i, look(texts[i:j], size[i:j])) for i, j in zip(edge, edge[1:])] or [(0, look([], size))]
+            row = np.concatenate([x[0] + i for i, x in seen])
+            anchor, ctx, first, more, off = (np.concatenate(c) for c in list(zip(*(x for _, x in seen)))[1:])
+            rank = {d: k for k, d in enumerate(sorted(set(ids)))}
+            place = np.array([rank[d] for d in ids], np.int64)[row] * (1 << 32) + first
+            again = np.zeros(len(row), bool)
+            if len(row):
+                order = np.argsort(ctx)  # were two contexts of one hash not equal, their rows would be compared later
+                run = np.flatnonzero(np.append(True, (np.diff(ctx[order]) != 0) | (np.diff(anchor[order]) != 0)))
+                again[order] = place[order] > np.repeat(np.minimum.reduceat(place[order], run), np.diff(np.append(run, len(row))))
+            return {"oid": _column(b["oid"], row), "key": _column(b["key"], row), "anchor": _column(anchor), "ctx": _column(ctx), "place": _column(first << 16 | more << 8 | off), "again": _column(again)}
 
         return f
 
-    rows = arrow_map(docs.select("oid", "key", "text"), make, "oid long, key long, n int, at array<struct<anchor:long,ctx:long,pos:int,again:boolean>>")
-    return rows.select("oid", "key", "n", F.explode("at").alias("x")).select("oid", "key", "n", "x.anchor", "x.ctx", "x.pos", "x.again")
+    return arrow_map(docs.select("oid", "key", F.col("text").cast("binary")), make, "oid long, key long, anchor long, ctx long, place long, again boolean")
+
+
+def _column(values, rows=None):
+    """An Arrow array of a numpy array, or of a list of longs at these rows."""
+    import pyarrow as pa
+
+    return pa.array(values if rows is None else np.array(values, np.int64)[rows])
 
 
 _table: dict[int, np.ndarray] = {}
@@ -288,34 +301,33 @@ def _equal(one: DataFrame) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> DataFrame:
-    """docs (oid, key, doc_id, text) -> oid, key, runs: array of byte ranges [s, e) that are repeats. A row for each document with any."""
-    every = ["oid", "key", "n", "anchor", "ctx", "pos"]
-    at = F.struct("oid", "key", "pos")
-    seen = _occurrences(docs).withColumn("route", F.when(F.col("again"), F.xxhash64("key", "pos")).otherwise(F.col("anchor")))
+    """docs (oid, key, doc_id, text) -> oid, key, runs: array of byte ranges [s, e) that are repeats, s in the upper 32 bits. A row for each document with any."""
+    at = F.struct("oid", "key", "place")
+    seen = _occurrences(docs).withColumn("route", F.when(F.col("again"), F.xxhash64("key", "place")).otherwise(F.col("anchor")))
     by = Window.partitionBy("route", "again")
-    seen = seen.withColumn("mixed", ~F.col("again") & (F.min("ctx").over(by) < F.max("ctx").over(by))).withColumn("first", F.when(~F.col("again"), F.min(at).over(Window.partitionBy("route", "again", "ctx"))))
-    late = F.col("again") | (at > F.col("first"))
-    seen = seen.where(F.col("mixed") | late).select(*every, "mixed", late.alias("late")).checkpoint()
+    seen = seen.withColumn("mixed", ~F.col("again") & (F.min("ctx").over(by) < F.max("ctx").over(by))).withColumn("least", F.when(~F.col("again"), F.min(at).over(Window.partitionBy("route", "again", "ctx"))))
+    late = F.col("again") | (at > F.col("least"))
+    first, more = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(F.lit(255))
+    where = ("first", first), ("last", first + more), ("off", F.col("place").bitwiseAND(F.lit(255)))
+    seen = seen.where(F.col("mixed") | late).select("oid", "key", "anchor", *(c.cast("int").alias(n) for n, c in where), "mixed", late.alias("late")).checkpoint()
     release(docs.sparkSession)
-    s0, s1 = F.greatest(F.col("pos") - SIDE, F.lit(0)), F.least(F.col("pos"), F.col("n") - WINDOW)
-    full = seen.where("late").select("oid", "key", s0.alias("s"), (s1 + WINDOW).alias("e"))
+    full = seen.where("late").select("oid", "key", F.col("first").alias("s"), (F.col("last") + WINDOW).alias("e"))
     lead = seen.where("mixed and not late")
     shards = F.greatest(F.lit(1), F.ceil(F.lit(lead.count() / shard))).cast("int")
     large = lead.groupBy(F.col("anchor").alias("group")).agg(F.count("*").alias("many")).where(F.col("many") > shard).select("group", F.lit(True).alias("hot"))
     lead = lead.join(apart(large, "group"), F.col("anchor") == F.col("group"), "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    lead = lead.groupBy("oid", "key").agg(F.collect_list(F.struct("pos", "anchor", "hot")).alias("lead")).join(docs, ["oid", "key"])
+    lead = lead.groupBy("oid", "key").agg(*(F.collect_list(c).alias(c) for c in ("first", "last", "off", "anchor", "hot"))).join(docs, ["oid", "key"])
 
     def make():
         def f(b):
-            out = {"oid": b["oid"], "key": b["key"], "at": []}
-            for t, lead in zip(b["text"], b["lead"]):
-                x = (t or "").encode("utf-8", "surrogatepass")
-                out["at"].append([{"anchor": a["anchor"], "start": max(0, a["pos"] - SIDE), "off": min(a["pos"], SIDE), "hot": a["hot"], "context": x[max(0, a["pos"] - SIDE) : a["pos"] + WINDOW]} for a in lead])
-            return out
+            of = [k for k, a in enumerate(b["first"]) for _ in a]
+            out = {c: [v for a in b[c] for v in a] for c in ("anchor", "first", "last", "off", "hot")}
+            start, last = out.pop("first"), out.pop("last")
+            return out | {"oid": [b["oid"][k] for k in of], "key": [b["key"][k] for k in of], "start": start, "context": [b["text"][k][s : e + WINDOW] for k, s, e in zip(of, start, last)]}
 
         return f
 
-    contexts = arrow_map(lead.select("oid", "key", "lead", "doc_id", "text"), make, "oid long, key long, at array<struct<anchor:long,start:int,off:int,hot:boolean,context:binary>>").select("oid", "key", F.explode("at").alias("x")).select("oid", "key", "x.*").checkpoint()
+    contexts = arrow_map(lead.select("oid", "key", "first", "last", "off", "anchor", "hot", F.col("text").cast("binary")), make, "oid long, key long, anchor long, start int, off int, hot boolean, context binary").checkpoint()
     found = _split(contexts, shard).withColumn("shard", F.pmod("group", shards))
 
     def sort(group):
@@ -328,7 +340,7 @@ def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> D
         return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("oid", pa.int64()), ("key", pa.int64()), ("s", pa.int32()), ("e", pa.int32())))})
 
     sorted_ = found.where("lo < hi").groupBy("shard").applyInArrow(sort, "oid long, key long, s int, e int")
-    return full.unionAll(sorted_).unionAll(_equal(found.where("lo = hi"))).distinct().groupBy("oid", "key").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
+    return full.unionAll(sorted_).unionAll(_equal(found.where("lo = hi"))).distinct().groupBy("oid", "key").agg(F.collect_list(F.shiftleft(F.col("s").cast("long"), 32).bitwiseOR(F.col("e"))).alias("runs"))
 
 
 def dedup(docs: DataFrame, *, shard: int = SHARD, held: int = HELD, keep_text: bool = False) -> DataFrame:
@@ -345,8 +357,9 @@ def dedup(docs: DataFrame, *, shard: int = SHARD, held: int = HELD, keep_text: b
         def f(b):
             out = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")}
             for i, t, runs in zip(b["doc_id"], b["text"], b["runs"]):
-                x, left, last, spans = (t or "").encode("utf-8", "surrogatepass"), [], 0, 0
-                for s, e in sorted((r["s"], r["e"]) for r in runs or ()):
+                x, left, last, spans = t or b"", [], 0, 0
+                for r in sorted(runs or ()):
+                    s, e = r >> 32, r & 0xFFFFFFFF
                     if s > last or not spans:
                         left.append(x[last:s])
                         spans += 1
@@ -358,7 +371,7 @@ def dedup(docs: DataFrame, *, shard: int = SHARD, held: int = HELD, keep_text: b
 
         return f
 
-    out = arrow_map(docs.join(runs, ["oid", "key"], "left").select("doc_id", "text", "runs"), make, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
+    out = arrow_map(docs.join(runs, ["oid", "key"], "left").select("doc_id", F.col("text").cast("binary"), "runs"), make, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
     return out if keep_text else out.drop("text")
 
 

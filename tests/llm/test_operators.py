@@ -467,6 +467,26 @@ def test_dedup_by_brute_force(spark):
         assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
 
 
+def test_every_window_is_sorted_once(spark, monkeypatch):
+    """Contexts of neighbouring anchors share no window, also where short texts are looked at together."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join("abcdeé"[k] for k in rng.integers(0, 6, 5))
+    shared = [" ".join(word() for _ in range(30)) for _ in range(4)]
+    docs = [(d, " ".join(word() if rng.random() < 0.6 else shared[int(rng.integers(0, 4))] for _ in range(int(rng.integers(1, 12))))) for d in range(60)] + [(60, None), (61, "")]
+    got, split = [], suffix._split
+
+    def sees(contexts, most):
+        got.extend(contexts.select("oid", "key", "start", "context").collect())
+        return split(contexts, most)
+
+    monkeypatch.setattr(suffix, "_split", sees)
+    monkeypatch.setattr(suffix, "CHUNK", 700, raising=False)
+    rows = suffix.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == brute_removed(docs)
+    windows = [(r.oid, r.key, r.start + k) for r in got for k in range(len(r.context) - 99)]
+    assert len(windows) > 1000 and len(set(windows)) == len(windows)
+
+
 # ---- chat ----
 
 
