@@ -69,7 +69,7 @@ class Queue:
                 if isinstance(r, np.ndarray):
                     at = self.file.seek(0, 2)
                     r.tofile(self.file)
-                    runs[k] = (at, len(r))
+                    runs[k] = (at, len(r), r.dtype)
         self.n = 0
 
     def pop(self, bucket: int) -> np.ndarray:
@@ -79,12 +79,17 @@ class Queue:
             if isinstance(r, tuple):
                 self.file.flush()
                 self.file.seek(r[0])
-                r = np.fromfile(self.file, np.int64, r[1])
+                r = np.fromfile(self.file, r[2], r[1])
             else:
                 self.n -= len(r)
             out.append(r)
         self.runs[bucket] = []
-        return np.concatenate(out) if out else np.zeros(0, np.int64)
+        return np.concatenate(out) if out else np.zeros(0, np.int32)
+
+
+def _kind(n: int) -> type:
+    """The narrowest kind of the positions below n, and of n and n + 1: arrays of them are what a sort's memory is."""
+    return np.int32 if n < 2**31 - 2 else np.int64
 
 
 def suffix_array(text: np.ndarray, depth: int = WINDOW, held: int = HELD) -> np.ndarray:
@@ -95,12 +100,13 @@ def suffix_array(text: np.ndarray, depth: int = WINDOW, held: int = HELD) -> np.
     n = len(text)
     if n < 2:
         return np.arange(n)
-    t = text
-    rise = np.sign(np.diff(np.append(t.astype(np.int64), -1)))
-    known = np.where(rise != 0, np.arange(n), n)
-    nearest = np.minimum.accumulate(known[::-1])[::-1]
-    is_s = rise[nearest] > 0
-    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+    t, kind = text, _kind(n)
+    known = np.arange(n, dtype=kind)
+    known[:-1][t[1:] == t[:-1]] = n
+    nearest = np.minimum.accumulate(known[::-1], out=known[::-1])[::-1]
+    is_s = np.append(t[1:] > t[:-1], False)[nearest]
+    del known, nearest
+    lms = (np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1).astype(kind)
     size = int(t.max()) + 1
 
     def by_char(items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,33 +117,34 @@ def suffix_array(text: np.ndarray, depth: int = WINDOW, held: int = HELD) -> np.
     def reduced(items: np.ndarray) -> np.ndarray:
         """Order of the left-most S suffixes: their substrings are named in order (a proper prefix comes after what it is a prefix of, as the next S suffix starts there), and the names are sorted by doubling: two symbols a name at least, so 2 ** k names reach the depth."""
         m = len(items)
-        length = np.diff(np.append(items, n)) + 1  # the last ends with the end of the text, the least symbol
-        padded = np.append(t.astype(np.uint64) + np.uint64(1), np.uint64(0))
-        names, groups, at = np.zeros(m, np.int64), np.arange(m), 0
+        length = np.diff(items, append=kind(n)) + kind(1)  # the last ends with the end of the text, the least symbol
+        padded = np.append(t, np.uint16(0)).astype(np.uint32)
+        padded[:n] += np.uint32(1)
+        names, groups, at = np.zeros(m, kind), np.arange(m, dtype=kind), 0
         while len(groups):  # four symbols at a time, only where names are still equal
-            pos, left = items[groups] + at, length[groups] - at
+            pos, left = np.minimum(items[groups], n - at) + kind(at), length[groups] - kind(at)
             key = np.zeros(len(groups), np.uint64)
             for k in range(4):
-                key = (key << np.uint64(16)) | np.where(left > k, padded[np.minimum(pos + k, n)], np.uint64(0xFFFF))
-            order = np.lexsort((key, names[groups]))
+                key <<= np.uint64(16)
+                key |= np.where(left > k, padded[np.minimum(pos, n - k) + kind(k)], np.uint32(0xFFFF))
+            order = np.lexsort((key, names[groups])).astype(kind)
             g, k_ = names[groups][order], key[order]
             fresh = np.concatenate([[True], (g[1:] != g[:-1]) | (k_[1:] != k_[:-1])])
             start = np.concatenate([[True], g[1:] != g[:-1]])
-            place = np.arange(len(order))
-            first, base = np.maximum.accumulate(np.where(fresh, place, 0)), np.maximum.accumulate(np.where(start, place, 0))
+            place = np.arange(len(order), dtype=kind)
+            first, base = np.maximum.accumulate(place * fresh), np.maximum.accumulate(place * start)
             names[groups[order]] = g + first - base  # a name is the number of substrings before it
             at += 4
-            run = np.flatnonzero(fresh)
-            many = np.repeat(np.diff(np.append(run, len(order))), np.diff(np.append(run, len(order)))) > 1
+            many = ~(fresh & np.append(fresh[1:], True))
             groups = groups[order[many & (left[order] >= 4)]]
         reach = 1
         while reach * 2 <= depth:
-            ahead = np.zeros(m, np.int64)
-            ahead[: max(0, m - reach)] = names[reach:] + 1 if reach < m else 0
-            key = names * (m + 1) + ahead
+            key = names.astype(np.int64) * (m + 1)
+            if reach < m:
+                key[: m - reach] += names[reach:] + kind(1)
             order = np.argsort(key)
-            new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
-            names = np.empty(m, np.int64)
+            key = key[order]
+            new = np.cumsum(np.append(False, key[1:] != key[:-1]), dtype=kind)
             names[order] = new
             if new[-1] == m - 1:
                 break
@@ -150,7 +157,7 @@ def suffix_array(text: np.ndarray, depth: int = WINDOW, held: int = HELD) -> np.
 
     def send(items: np.ndarray, want_s: bool, low: int, up: bool) -> np.ndarray:
         """Pushes predecessors of the type into later buckets; returns those of this bucket."""
-        prev = items[items > 0] - 1
+        prev = items[items > 0] - kind(1)
         prev = prev[is_s[prev] == want_s]
         c = t[prev]
         prev = prev[(c >= low) if up else (c <= low)]
@@ -161,13 +168,13 @@ def suffix_array(text: np.ndarray, depth: int = WINDOW, held: int = HELD) -> np.
         return got[cut[low] : cut[low + 1]]
 
     if not is_s[n - 1]:
-        queue.push(int(t[n - 1]), np.array([n - 1]))
+        queue.push(int(t[n - 1]), np.array([n - 1], kind))
     for c in range(size):
         now, got = queue.pop(c), []
         while len(now):
             got.append(now)
             now = send(now, False, c, True)
-        out_l.append(np.concatenate(got) if got else np.zeros(0, np.int64))
+        out_l.append(np.concatenate(got) if got else np.zeros(0, kind))
         send(seeds[0][seeds[1][c] : seeds[1][c + 1]], False, c, True)
     queue, out = Queue(size, held), []
     for c in range(size - 1, -1, -1):  # everything in falling order
@@ -185,19 +192,22 @@ def repeats(contexts: list[bytes], order: np.ndarray, depth: int = WINDOW, held:
     """For each context, the starts of its windows that also start earlier; order[i] is the place in the corpus of context i's first byte."""
     size = np.array([len(c) for c in contexts])
     begin = np.concatenate([[0], np.cumsum(size + 1)])
-    text = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8).astype(np.uint16) + np.uint16(1)
+    raw = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8)
+    text = raw.astype(np.uint16) + np.uint16(1)
     text[begin[1:] - 1] = 0
-    owner = np.repeat(np.arange(len(contexts)), size + 1)
-    offset = np.arange(len(text)) - begin[owner]
+    fits = np.ones(len(text), bool)
+    for k in range(depth):  # a window that starts here ends in its context
+        fits[np.maximum(begin[1:] - 1 - k, begin[:-1])] = False
     sa = suffix_array(text, depth, held)
-    sa = sa[offset[sa] + depth <= size[owner[sa]]]
+    sa = sa[fits[sa]]
     if not len(sa):
         return [sa for _ in contexts]
-    raw, same = np.frombuffer(text.astype(np.uint8).tobytes(), np.uint8), np.zeros(len(sa), bool)
-    windows = np.lib.stride_tricks.sliding_window_view(raw, depth)
+    same, windows = np.zeros(len(sa), bool), np.lib.stride_tricks.sliding_window_view(raw, depth)
     for a in range(1, len(sa), 50_000):  # the common prefix of neighbours reaches the depth
         same[a : a + 50_000] = (windows[sa[a : a + 50_000]] == windows[sa[a - 1 : a - 1 + len(sa[a : a + 50_000])]]).all(axis=1)
-    place = order[owner[sa]] + offset[sa]
+    owner = np.searchsorted(begin, sa, "right") - 1
+    place = order[owner] + (sa - begin[owner])
+    del owner
     first = np.flatnonzero(~same)
     least = np.repeat(np.minimum.reduceat(place, first), np.diff(np.append(first, len(sa))))
     late = sa[place > least]
@@ -300,16 +310,21 @@ def _equal(one: DataFrame) -> DataFrame:
     return w.join(first, "window").where(at > F.col("first")).select("oid", "key", F.col("start").alias("s"), (F.col("start") + WINDOW).alias("e"))
 
 
-def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> DataFrame:
-    """docs (oid, key, doc_id, text) -> oid, key, runs: array of byte ranges [s, e) that are repeats, s in the upper 32 bits. A row for each document with any."""
-    at = F.struct("oid", "key", "place")
-    seen = _occurrences(docs).withColumn("route", F.when(F.col("again"), F.xxhash64("key", "place")).otherwise(F.col("anchor")))
-    by = Window.partitionBy("route", "again")
-    seen = seen.withColumn("mixed", ~F.col("again") & (F.min("ctx").over(by) < F.max("ctx").over(by))).withColumn("least", F.when(~F.col("again"), F.min(at).over(Window.partitionBy("route", "again", "ctx"))))
-    late = F.col("again") | (at > F.col("least"))
+def _compared(seen: DataFrame) -> DataFrame:
+    """The rows of ``_occurrences`` that are repeats as a whole (``late``), or whose anchor has several contexts (``mixed``). A row that has an equal one in its batch is dealt out by its document. The windows share one sort, as both are in the order of contexts."""
+    at, again = F.struct("oid", "key", "place"), F.col("again")
+    seen = seen.withColumn("anchor", F.when(again, F.xxhash64("key", "place")).otherwise(F.col("anchor")))
+    by = Window.partitionBy("anchor", "again").orderBy("ctx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = seen.withColumn("mixed", ~again & (F.min("ctx").over(by) < F.max("ctx").over(by))).withColumn("least", F.when(~again, F.min(at).over(Window.partitionBy("anchor", "again", "ctx"))))
+    late = again | (at > F.col("least"))
     first, more = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(F.lit(255))
     where = ("first", first), ("last", first + more), ("off", F.col("place").bitwiseAND(F.lit(255)))
-    seen = seen.where(F.col("mixed") | late).select("oid", "key", "anchor", *(c.cast("int").alias(n) for n, c in where), "mixed", late.alias("late")).checkpoint()
+    return seen.where(F.col("mixed") | late).select("oid", "key", "anchor", *(c.cast("int").alias(n) for n, c in where), "mixed", late.alias("late"))
+
+
+def repeated_runs(docs: DataFrame, *, shard: int = SHARD, held: int = HELD) -> DataFrame:
+    """docs (oid, key, doc_id, text) -> oid, key, runs: array of byte ranges [s, e) that are repeats, s in the upper 32 bits. A row for each document with any."""
+    seen = _compared(_occurrences(docs)).checkpoint()
     release(docs.sparkSession)
     full = seen.where("late").select("oid", "key", F.col("first").alias("s"), (F.col("last") + WINDOW).alias("e"))
     lead = seen.where("mixed and not late")

@@ -6,6 +6,7 @@ import math
 import os
 import re
 import time
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
@@ -487,6 +488,38 @@ def test_every_window_is_sorted_once(spark, monkeypatch):
     assert len(windows) > 1000 and len(set(windows)) == len(windows)
 
 
+def test_sort_takes_little_memory(monkeypatch):
+    """A sort's arrays are as narrow as its positions, and wider ones give the same."""
+    rng = np.random.default_rng(5)
+    words = ["".join("abcdefghijkl"[k] for k in rng.integers(0, 12, rng.integers(2, 9))) for _ in range(300)]
+    text = " ".join(words[k] for k in rng.integers(0, 300, 30_000)).encode()
+    contexts = [text[a : a + 133] for a in rng.integers(0, len(text) - 133, 12_000)]
+    tracemalloc.start()
+    try:
+        got = suffix.repeats(contexts, np.arange(len(contexts)) << 32)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(map(len, got)) > 10_000 and peak < 50 * sum(map(len, contexts))
+    t = rng.integers(0, 5, 2000).astype(np.uint16)
+    narrow = suffix.suffix_array(t, 100, 50)
+    monkeypatch.setattr(suffix, "_kind", lambda n: np.int64)
+    wide = suffix.suffix_array(t, 100, 50)
+    assert narrow.dtype == np.int32 and wide.dtype == np.int64 and narrow.tolist() == wide.tolist()
+
+
+def test_anchors_are_sorted_once(spark):
+    """(oid, anchor, ctx, again): an equal context that came earlier makes a row late, another one its anchor mixed."""
+    rows = [(1, 7, 1, False), (2, 7, 2, False), (3, 7, 1, False), (4, 8, 5, False), (5, 8, 5, False), (6, 9, 5, False), (7, 7, 3, True), (8, 9, 6, True)]
+    place = 300 << 16 | 4 << 8 | 2
+    df = spark.createDataFrame([(o, 0, a, c, place, g) for o, a, c, g in rows], "oid long, key long, anchor long, ctx long, place long, again boolean")
+    out = suffix._compared(df)
+    assert {r.oid: (r.first, r.last, r.off, r.mixed, r.late) for r in out.collect()} == {o: (300, 304, 2, o < 4, o not in (1, 2)) for o in (1, 2, 3, 5, 7, 8)}
+    assert {r.oid: r.anchor for r in out.where("mixed").collect()} == {1: 7, 2: 7, 3: 7}
+    plan = out._jdf.queryExecution().sparkPlan().toString(), out._jdf.queryExecution().executedPlan().toString()
+    assert plan[0].count("Window [") == 2 and len(re.findall(r"\bSort \[", plan[1].split("== Initial Plan ==")[-1])) == 1
+
+
 # ---- chat ----
 
 
