@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import granary.plans.annotation  # noqa: F401
 from granary.operators import graphs, metrics
 
 
@@ -46,3 +47,13 @@ def test_communities_of_several_blocks(spark, monkeypatch):
     assert 1 <= sum(rounds) <= 4
     monkeypatch.setattr(graphs, "NODES", 20)
     assert {x.id: x.community for x in graphs.leiden(df).collect()} == {i: i // 20 * 20 for i in range(80)}
+
+
+def test_refinement_does_not_copy_vectors_to_the_disk(spark, tmp_path_factory):
+    """2,000 vectors of 256 bytes; a search by copies wrote each twelve times."""
+    from granary.plans.registry import QUERIES
+
+    folder = tmp_path_factory.mktemp("shared")
+    spark.sparkContext.setCheckpointDir(str(folder))
+    assert QUERIES["mixed_cluster_refinement"](spark, "/root/testdata/sf0.1").count() == 2000
+    assert sum(f.stat().st_size for f in folder.rglob("*.parquet")) < 4 * 2000 * 256
