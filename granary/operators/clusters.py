@@ -14,7 +14,7 @@ def mixed_clusters(flags: DataFrame, sizes: DataFrame, cluster: str, least: int
 
 
 def component_scores(spark: SparkSession, values: DataFrame, k: int = 50) -> DataFrame:
-    """values (id, features array<double>) -> (id, scores array<double>): principal component scores of the centred features, the largest first; the sign makes the largest loading positive.
+    """values (id, features array<double>, and weight if rows stand for several) -> (id, scores array<double>): principal component scores of the centred features, the largest first; the sign makes the largest loading positive.
 
     Features are a bounded dimension d (variable genes): the d x d sums of products are made in the cluster, one partial a batch; only they reach the driver, where the directions are found.
     """
@@ -26,9 +26,10 @@ def component_scores(spark: SparkSession, values: DataFrame, k: int = 50) -> Dat
         for df in batches:
             x = np.stack([np.asarray(v, float) for v in df["features"]]) if len(df) else np.zeros((0, 0))
             if len(x):
-                yield pd.DataFrame({"i": range(-1, x.shape[1]), "n": len(x), "v": [x.sum(0).tolist(), *(x.T @ x).tolist()]})
+                y = x if "weight" not in df else x * df["weight"].to_numpy(float)[:, None]
+                yield pd.DataFrame({"i": range(-1, x.shape[1]), "n": len(x) if "weight" not in df else int(df["weight"].sum()), "v": [y.sum(0).tolist(), *(y.T @ x).tolist()]})
 
-    sums = values.select("features").mapInPandas(partial, "i int, n long, v array<double>").select("i", "n", F.posexplode("v").alias("j", "x")).groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("x").alias("x")).collect()
+    sums = values.drop("id").mapInPandas(partial, "i int, n long, v array<double>").select("i", "n", F.posexplode("v").alias("j", "x")).groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("x").alias("x")).collect()
     if not sums:
         return values.select("id", F.array().cast("array<double>").alias("scores"))
     d, n = max(r.j for r in sums) + 1, sums[0].n

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import granary.plans.annotation  # noqa: F401
-from granary.operators import graphs, metrics
+from granary.operators import doublets, graphs, metrics
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -57,3 +57,17 @@ def test_refinement_does_not_copy_vectors_to_the_disk(spark, tmp_path_factory):
     spark.sparkContext.setCheckpointDir(str(folder))
     assert QUERIES["mixed_cluster_refinement"](spark, "/root/testdata/sf0.1").count() == 2000
     assert sum(f.stat().st_size for f in folder.rglob("*.parquet")) < 4 * 2000 * 256
+
+
+def test_equal_cells_count_by_their_share(spark):
+    """400 cells without a variable gene and 30 with some: equal cells have equal scores, whatever the partitions."""
+    r = np.random.default_rng(2)
+    rows = [(i, int(g), 2) for i in range(400) for g in (100 + i % 7, 110)] + [(400 + i, int(g), 1 + int(r.integers(30))) for i in range(30) for g in r.integers(0, 8, 5)]
+    counts = spark.createDataFrame(rows, "cell_id long, gene_id long, count long").groupBy("cell_id", "gene_id").agg(F.sum("count").alias("count"))
+    cells = counts.select("cell_id").distinct()
+    run = lambda c, x: {y.cell_id: (y.doublet_score, y.is_doublet) for y in doublets.doublets(spark, c, x, genes=8, components=4, k=10).collect()}
+    got = run(counts, cells)
+    assert len(got) == 430 and all(0 < s < 0.2 for s, _ in (got[i] for i in range(400)))
+    for kind in range(7):
+        assert len({got[i] for i in range(kind, 400, 7)}) == 1
+    assert run(counts.repartition(7), cells.repartition(5)) == got
