@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import granary.plans.annotation  # noqa: F401
-from granary.operators import doublets, graphs, metrics
+from granary.operators import doublets, graphs, metrics, numeric
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -71,3 +71,14 @@ def test_equal_cells_count_by_their_share(spark):
     for kind in range(7):
         assert len({got[i] for i in range(kind, 400, 7)}) == 1
     assert run(counts.repartition(7), cells.repartition(5)) == got
+
+
+@pytest.mark.parametrize("batch", [None, "label"])
+def test_exact_search_keeps_ties_of_rounded_distances(spark, batch):
+    """Rows whose distances are equal in four decimals are in order of their ids, as in SQL, over several tiles; 1 / 32 rounds up."""
+    rows = [(0, [0.0, 0.0], 0)] + [(i, [1 + (2000 - i) * 1e-8, 0.0], i % 2) for i in range(1, 1500)] + [(9000, [0.03125, 0.0], 1), (9001, [5.0, 0.0], None)]
+    v = spark.createDataFrame(rows, "id long, embedding array<double>, label int")
+    got = {}
+    for y in numeric.nearest(v.where("id = 0"), v, 3, batch).orderBy("rank").collect():
+        got.setdefault(y[batch] if batch else 0, []).append((y.neighbour, y.distance))
+    assert got == ({0: [(2, 1.0), (4, 1.0), (6, 1.0)], 1: [(9000, 0.0313), (1, 1.0), (3, 1.0)], None: [(9001, 5.0)]} if batch else {0: [(9000, 0.0313), (1, 1.0), (2, 1.0)]})
