@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from granary.operators import clusters, consensus, doublets, enrichment, gate, labels, numeric
+from granary.operators.lineage import settled
 from granary.plans.registry import _TREE, CELLS, LOGNORM, VOTERS, _tree, query
 from granary.sources import cohorts
 from granary.sources import tables as T
@@ -166,12 +167,10 @@ a AS (SELECT cluster, panel, round(sum(round(score * 1e6)::BIGINT)::BIGINT / cou
 @query(f"WITH {_GATE} SELECT m.cluster, CASE WHEN score > 0.1 THEN panel ELSE 'Other' END AS lineage, score, n_cells FROM m JOIN a ON a.cluster = m.cluster AND a.panel = m.m[2]")
 def lineage_score_gate(s, d):
     """Brands as panels; the first is gated on its genes of odd ids."""
-    counts, cells = T.counts(s, d), T.cells(s, d)
-    values, panels = numeric.lognorm(counts), T.genes(s, d).select(F.col("brand").alias("panel"), "gene_id")
-    means = values.groupBy("gene_id").agg(F.sum(F.round(F.col("value") * 1e6).cast("long")).alias("mean"))
-    expressing = counts.where("count > 0").join(panels.where((F.col("panel") == "Brand#1") & (F.col("gene_id") % 2 == 1)), "gene_id").select("cell_id")
-    scores = gate.panel_cell_scores(values, panels, gate.control_genes(means, panels), cells)
-    return gate.lineage_gate(scores, cells, "cluster", gated="Brand#1", expressing=expressing)
+    values, panels = settled(numeric.lognorm_micro(T.counts_by_cell(s, d))), T.genes(s, d).select(F.col("brand").alias("panel"), "gene_id")
+    controls = settled(gate.control_genes(values.groupBy("gene_id").agg(F.sum("micro").alias("mean")), panels))
+    marks = panels.where((F.col("panel") == "Brand#1") & (F.col("gene_id") % 2 == 1))
+    return gate.gated_lineages(values, panels, controls, T.cells(s, d), "cluster", gated="Brand#1", marks=marks)
 
 
 @query()

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import granary.plans.annotation  # noqa: F401
-from granary.operators import doublets, graphs, metrics, numeric
+from granary.operators import doublets, gate, graphs, metrics, numeric
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -82,3 +82,20 @@ def test_exact_search_keeps_ties_of_rounded_distances(spark, batch):
     for y in numeric.nearest(v.where("id = 0"), v, 3, batch).orderBy("rank").collect():
         got.setdefault(y[batch] if batch else 0, []).append((y.neighbour, y.distance))
     assert got == ({0: [(2, 1.0), (4, 1.0), (6, 1.0)], 1: [(9000, 0.0313), (1, 1.0), (3, 1.0)], None: [(9001, 5.0)]} if batch else {0: [(9000, 0.0313), (1, 1.0), (2, 1.0)]})
+
+
+def test_gate_has_a_row_a_cell(spark):
+    """The same as by cells and panels, and no join or shuffle of a row for each."""
+    r = np.random.default_rng(4)
+    rows = [(c, int(g), int(r.integers(0, 30))) for c in range(300) for g in r.choice(40, 4, replace=False)]
+    counts = spark.createDataFrame(rows, "cell_id long, gene_id long, count long").where("cell_id % 17 > 0 or count > 0")
+    cells = spark.range(310).select(F.col("id").alias("cell_id"), (F.col("id") % 3).alias("cluster"))
+    panels = spark.createDataFrame([("abcd"[g % 4], g) for g in range(36)], "panel string, gene_id long")
+    values = numeric.lognorm(counts)
+    controls = gate.control_genes(values.groupBy("gene_id").agg(F.sum("value").alias("mean")), panels, bins=4, controls=5)
+    marks = panels.where("panel = 'a' and gene_id % 8 = 0")
+    scores = gate.panel_cell_scores(values, panels, controls, cells)
+    for least in (0.1, -0.2):
+        want = gate.lineage_gate(scores, cells, "cluster", gated="a", expressing=counts.where("count > 0").join(marks, "gene_id").select("cell_id"), least=least)
+        got = gate.gated_lineages(numeric.lognorm_micro(counts), panels, controls, cells, "cluster", gated="a", marks=marks, least=least)
+        assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
